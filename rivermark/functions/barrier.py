@@ -14,6 +14,10 @@ def computed(df: DataFrame, keep: Sequence[str], **columns: Column) -> DataFrame
     The optimizer copies the expression behind a column into every filter it moves
     below the projection, so a parsed document would be parsed again per filter.
     It does not move filters through a generator, here one that yields one row.
+    Names in ``columns`` must be new.
     """
-    packed = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
-    return df.select(*keep, F.inline(packed))
+    carried = list(keep)
+    made = df.select(*carried, *[c.alias(n) for n, c in columns.items()])
+    # The projection shares common parts between the columns; the generator does not.
+    packed = F.array(F.struct(*[F.col(f"`{n}`").alias(n) for n in columns]))
+    return made.select(*carried, F.inline(packed))

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..functions.decode import is_decimal_text
 from ..schemas import MONEY, SETTLEMENT
 from .contract import Contract, Field
 from .dedup import mark_repeats
@@ -48,7 +47,7 @@ def mark_file_duplicates(
 def _presence_rules(contract: Contract) -> list[Rule]:
     rules = []
     for f in contract.fields:
-        raw, text = F.col(f.name), fn.clean(F.col(f.name))
+        raw, text = F.col(f.name), F.col(f"_text.{f.name}")
         if f.required:
             rules.append(
                 _rule("REQUIRED_FIELD_MISSING", raw.isNull(), f"{f.name} column value is missing")
@@ -72,41 +71,45 @@ def _presence_rules(contract: Contract) -> list[Rule]:
     return rules
 
 
-def _decimal(f: Field) -> tuple[Column, list[Rule]]:
-    """Value of a decimal field, and the rules it may break one at a time."""
-    text = fn.clean(F.col(f.name))
-    exponent = F.coalesce(
-        F.regexp_extract(text, r"[eE]([+-]?\d+)$", 1).try_cast("int"), F.lit(0)
+def _decimal_problem(f: Field) -> Column:
+    """Code of the rule a decimal text breaks, NULL for a good or an empty one."""
+    text = f"_text.{f.name}"
+    scale, precision = f.scale or 0, f.precision or 18
+    plain = f"^[+-]?[0-9]{{1,{precision - scale}}}([.][0-9]{{0,{scale}}})?$"
+    exponent = f"coalesce(try_cast(regexp_extract({text}, '[eE]([+-]?[0-9]+)$', 1) AS INT), 0)"
+    fraction = f"regexp_extract({text}, '[.]([0-9]*)', 1)"
+    whole = f"regexp_extract({text}, '^[+-]?([0-9]*)', 1)"
+    digits = f"greatest(length(ltrim('0', concat({whole}, {fraction}))), 1)"
+    shift = f"({exponent} - length({fraction}))"
+    return F.expr(
+        f"CASE WHEN {text} = '' OR {text} RLIKE '{plain}' THEN NULL "
+        f"WHEN NOT {text} RLIKE '^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$' "
+        "THEN 'INVALID_DECIMAL' "
+        f"WHEN greatest(-{shift}, 0) > {scale} THEN 'DECIMAL_SCALE_EXCEEDED' "
+        f"WHEN {digits} + greatest({shift}, 0) > {precision} "
+        f"OR try_cast({text} AS DECIMAL({precision},{scale})) IS NULL "
+        "THEN 'DECIMAL_PRECISION_EXCEEDED' END"
     )
-    whole = F.regexp_extract(text, r"^[+-]?(\d*)", 1)
-    fraction = F.regexp_extract(text, r"\.(\d*)", 1)
-    digits = F.greatest(
-        F.length(F.ltrim(F.concat(whole, fraction), F.lit("0"))), F.lit(1)
+
+
+def _decimal_rules(f: Field) -> list[Rule]:
+    problem, text = F.col(f"_problem.{f.name}"), F.col(f"_text.{f.name}")
+    syntax = F.when(text.rlike(_NOT_FINITE), F.lit(f"{f.name} must be finite")).otherwise(
+        F.lit(f"{f.name} is not a decimal")
     )
-    shift = exponent - F.length(fraction)
-    parsed = is_decimal_text(text) & ~text.rlike(_NOT_FINITE)
-    scale_ok = F.greatest(-shift, F.lit(0)) <= (f.scale or 0)
-    typed = text.try_cast(MONEY)
-    precise = (digits + F.greatest(shift, F.lit(0)) <= (f.precision or 18)) & typed.isNotNull()
-    value = F.when(parsed & scale_ok & precise, typed)
-    filled = text != ""
-    finite_message = F.when(
-        text.rlike(_NOT_FINITE), F.lit(f"{f.name} must be finite")
-    ).otherwise(F.lit(f"{f.name} is not a decimal"))
-    rules = [
-        ("INVALID_DECIMAL", filled & ~parsed, finite_message),
+    return [
+        ("INVALID_DECIMAL", F.coalesce(problem == "INVALID_DECIMAL", F.lit(False)), syntax),
         _rule(
             "DECIMAL_SCALE_EXCEEDED",
-            filled & parsed & ~scale_ok,
+            problem == "DECIMAL_SCALE_EXCEEDED",
             f"{f.name} exceeds scale {f.scale}",
         ),
         _rule(
             "DECIMAL_PRECISION_EXCEEDED",
-            filled & parsed & scale_ok & ~precise,
+            problem == "DECIMAL_PRECISION_EXCEEDED",
             f"{f.name} exceeds precision {f.precision}",
         ),
     ]
-    return value, rules
 
 
 def validate_rows(rows: DataFrame, contract: Contract) -> DataFrame:
@@ -116,44 +119,50 @@ def validate_rows(rows: DataFrame, contract: Contract) -> DataFrame:
     ``file_settlement_date`` from the file name and the two duplicate flags. Codes
     keep the rule order, each once; both error columns are NULL for good rows.
     """
-    text = {n: fn.clean(F.col(n)) for n in contract.names}
+    amounts = ("amount", "fee_amount", "net_amount")
+    trimmed = fn.computed(
+        rows,
+        rows.columns,
+        _text=F.struct(*[fn.clean(F.col(n)).alias(n) for n in contract.names]),
+    )
+    checked = fn.computed(
+        trimmed,
+        trimmed.columns,
+        _problem=F.struct(*[_decimal_problem(contract[n]).alias(n) for n in amounts]),
+    )
+    text = {n: F.col(f"_text.{n}") for n in contract.names}
     day = F.when(
         text["settlement_date"].rlike(r"^\d{4}-\d{2}-\d{2}$"),
         F.try_to_date(text["settlement_date"], "yyyy-MM-dd"),
     )
-    compact = F.replace(
-        F.translate(F.replace(text["internal_transaction_id"], F.lit("urn:"), F.lit("")), "{}", ""),
-        F.lit("uuid:"),
-        F.lit(""),
+    hexes = F.expr(
+        "lower(replace(translate(replace(replace(_text.internal_transaction_id, 'urn:'), 'uuid:'), "
+        "'{}', ''), '-'))"
     )
-    hexes = F.lower(F.replace(compact, F.lit("-"), F.lit("")))
     uuid = F.when(
-        hexes.rlike(_UUID),
-        F.regexp_replace(hexes, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"),
+        text["internal_transaction_id"] != "",
+        F.when(
+            hexes.rlike(_UUID),
+            F.regexp_replace(hexes, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"),
+        ),
     )
     zoned = fn.offset_timestamp(text["transaction_timestamp"])
-    any_clock = fn.iso_timestamp(text["transaction_timestamp"])
-    parsed, decimal_rules = {}, {}
-    for name in ("amount", "fee_amount", "net_amount"):
-        parsed[name], decimal_rules[name] = _decimal(contract[name])
-
+    made = {
+        **text,
+        "settlement_date": day,
+        "internal_transaction_id": uuid,
+        "transaction_timestamp": zoned,
+        **{
+            n: F.when(F.col(f"_problem.{n}").isNull(), text[n].try_cast(MONEY)) for n in amounts
+        },
+    }
     typed = fn.computed(
-        rows,
-        rows.columns,
-        typed=F.struct(
-            text["partner_id"].alias("partner_id"),
-            day.alias("settlement_date"),
-            text["settlement_reference"].alias("settlement_reference"),
-            text["partner_transaction_reference"].alias("partner_transaction_reference"),
-            uuid.alias("internal_transaction_id"),
-            zoned.alias("transaction_timestamp"),
-            parsed["amount"].alias("amount"),
-            text["currency"].alias("currency"),
-            text["settlement_status"].alias("settlement_status"),
-            parsed["fee_amount"].alias("fee_amount"),
-            parsed["net_amount"].alias("net_amount"),
-        ),
+        checked,
+        checked.columns,
+        typed=F.struct(*[made[n].alias(n) for n in contract.names]),
     )
+    any_clock = fn.iso_timestamp(text["transaction_timestamp"])
+    decimal_rules = {n: _decimal_rules(contract[n]) for n in amounts}
     value = {n: F.col(f"typed.{n}") for n in contract.names}
     filled = {n: text[n] != "" for n in contract.names}
     statuses = contract["settlement_status"].allowed_values
@@ -195,12 +204,14 @@ def validate_rows(rows: DataFrame, contract: Contract) -> DataFrame:
         ),
         _rule(
             "INVALID_TRANSACTION_TIMESTAMP",
-            filled["transaction_timestamp"] & any_clock.isNull(),
+            filled["transaction_timestamp"] & value["transaction_timestamp"].isNull()
+            & any_clock.isNull(),
             "transaction_timestamp is not ISO-8601",
         ),
         _rule(
             "TIMESTAMP_TIMEZONE_REQUIRED",
-            any_clock.isNotNull() & value["transaction_timestamp"].isNull(),
+            filled["transaction_timestamp"] & value["transaction_timestamp"].isNull()
+            & any_clock.isNotNull(),
             "transaction_timestamp must contain an explicit UTC offset",
         ),
         *decimal_rules["amount"],
@@ -236,11 +247,12 @@ def validate_rows(rows: DataFrame, contract: Contract) -> DataFrame:
             ]
         )
     )
-    judged = fn.computed(typed, typed.columns, _found=found)
+    judged = fn.computed(typed, [*rows.columns, "typed"], _found=found)
     codes = F.array_join(F.array_distinct(F.col("_found.code")), "|")
     messages = F.array_join(F.col("_found.message"), "; ")
     return judged.select(
-        *typed.columns,
+        *rows.columns,
+        "typed",
         F.nullif(codes, F.lit("")).alias("error_code"),
         F.nullif(messages, F.lit("")).alias("error_message"),
     )
