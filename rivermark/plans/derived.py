@@ -158,7 +158,12 @@ SQL["d_wire"] = f"""d_wire AS (
 
 def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka source rows whose values are change envelopes, some of them damaged."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return wire_columns(table(spark, sf_dir, "events"))
+
+
+def wire_columns(events: DataFrame) -> DataFrame:
+    """Kafka source columns of event rows, also of a stream of them."""
+    return events.selectExpr(
         f"CAST({_for(_KEY, 'spark')} AS BINARY) AS key",
         f"CAST({_for(_VALUE, 'spark')} AS BINARY) AS value",
         "'cdc.public.accounts' AS topic",
