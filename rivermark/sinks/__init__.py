@@ -1 +1,15 @@
+"""Published datasets and the run ledger."""
 
+from .ledger_store import append_runs, read_runs
+from .publish import CollisionError, Published, fingerprint, publish, read_published, run_path
+
+__all__ = [
+    "CollisionError",
+    "Published",
+    "append_runs",
+    "fingerprint",
+    "publish",
+    "read_published",
+    "read_runs",
+    "run_path",
+]

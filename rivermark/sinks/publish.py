@@ -83,10 +83,9 @@ def publish(
         if known != tuple(fingerprint(rows.select(*names)).first()):
             raise CollisionError(f"run directory holds other content: {path}")
         return Published(output_type, entity, path, known[0], str(known[1]))
-    if len(by) > 1:
-        # Rows of one folder are spread over a few tasks, so that a folder with most
-        # of the rows is not written by a single one.
-        shaped = shaped.repartition(*[f"_{p}" for p in by], _spread(names))
+    # Rows of a folder come together; at run time a folder with most of the rows is
+    # split over several tasks and small ones are merged.
+    shaped = shaped.hint("rebalance", *[f"_{p}" for p in by])
     if sort:
         shaped = shaped.sortWithinPartitions(*[f"_{p}" for p in by], *sort)
     shaped.write.mode("overwrite").partitionBy(*[f"_{p}" for p in by]).option(
@@ -96,10 +95,6 @@ def publish(
     return Published(output_type, entity, path, written[0], str(written[1]))
 
 
-def _spread(names: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*names), F.lit(16))
-
-
 def _measure(spark: SparkSession, path: str, schema: T.StructType) -> tuple[int, int]:
     return tuple(fingerprint(spark.read.schema(schema).parquet(path)).first())
 

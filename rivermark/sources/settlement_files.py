@@ -213,9 +213,18 @@ def read_settlements(
 
 
 def raw_files(spark: SparkSession, path: str, files: DataFrame) -> DataFrame:
-    """File bytes, unchanged, with their identity, for the raw landing table."""
-    content = _plain(spark.read.format("binaryFile").load(path).select("path", "content"))
-    return content.join(
-        files.select("path", "file_name", "partner_id", "settlement_date", "checksum_sha256"),
-        "path",
+    """Bytes of the files that fit one row, unchanged, with their identity."""
+    small = files.where(F.col("length") <= WHOLE_FILE_BYTES)
+    content = spark.read.format("binaryFile").load(path).where(
+        F.col("length") <= WHOLE_FILE_BYTES
     )
+    return _plain(content.select("path", "content")).join(small, "path")
+
+
+def raw_lines(spark: SparkSession, path: str, files: DataFrame) -> DataFrame:
+    """Numbered lines of the larger files, with their identity."""
+    large = files.where(F.col("length") > WHOLE_FILE_BYTES)
+    lines = read_lines(spark, path).join(large, "path")
+    return scan.row_number(
+        lines, groups=["path"], levels=["_block"], order=["_place"], name="line_number"
+    ).drop("_block", "_place")

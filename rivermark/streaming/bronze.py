@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import envelope
-from ..operators.scan import PIECE, piece
 from ..session import configure
 
 # Rows and seconds per micro-batch unless told otherwise.
@@ -19,8 +18,8 @@ def write_bronze(parsed: DataFrame, path: str, *, batch_id: int) -> None:
     """Bronze rows of one micro-batch, in a folder named after the batch.
 
     A batch that is run again overwrites its own folder, so a replay after a lost
-    commit leaves the same rows. Rows of one partition folder are spread by offset
-    range: no task writes a topic partition alone.
+    commit leaves the same rows. Rows of a partition folder come
+    together, and a folder with most of the rows is split over tasks at run time.
     """
     rows = envelope.bronze_rows(parsed).select(
         "*",
@@ -30,7 +29,7 @@ def write_bronze(parsed: DataFrame, path: str, *, batch_id: int) -> None:
     )
     keys = ["entity", "event_date", "topic", "partition"]
     (
-        rows.repartition(*keys, piece("kafka_offset", PIECE))
+        rows.hint("rebalance", *keys)
         .sortWithinPartitions(*keys, "kafka_offset")
         .write.mode("overwrite")
         .partitionBy(*keys)
