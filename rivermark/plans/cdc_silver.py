@@ -22,7 +22,7 @@ from ..schemas import (
     entity_schema,
 )
 from ..session import configure, shared_dir
-from ..sinks import Published, append_runs, publish, read_runs
+from ..sinks import Published, append_runs, publish, read_published, read_runs
 from ..sources import bronze as source
 
 PIPELINE = "cdc-bronze-to-silver"
@@ -76,7 +76,7 @@ def last_state(
     if row is None:
         return None
     path = next(o["path"] for o in json.loads(row[0]) if o["output_type"] == output)
-    return spark.read.schema(entity_schema(entity)).parquet(path)
+    return read_published(spark, path, entity_schema(entity))
 
 
 def _rejections(
@@ -334,7 +334,7 @@ def _process(spark, result, bronze, silver, files, runs, inputs, at, force, dry_
             count = written.record_count
             if name == "latest_all":
                 # The current rows come from what was just published.
-                published = spark.read.schema(schema).parquet(written.path)
+                published = read_published(spark, written.path, schema)
                 outputs["current"] = (state.current(published), schema, {}, (key,))
         if name == "rejections":
             result.rejected_record_count = count

@@ -75,8 +75,10 @@ def run_settlements(
     contract = contract or load_contract()
     run_id, at = run_id or str(uuid.uuid4()), at or datetime.now(UTC)
     runs = read_runs(spark, ledger_path)
-    rows, files = source.read_settlements(spark, inbound, contract, expected_partner=partner)
     work = shared_dir(spark, "settlements")
+    rows, files = source.read_settlements(
+        spark, inbound, contract, expected_partner=partner, work=work
+    )
     classify_files(files, runs).select(
         "*",
         F.lit(PIPELINE).alias("pipeline_name"),

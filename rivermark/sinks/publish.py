@@ -77,7 +77,7 @@ def publish(
     names = schema.fieldNames()
     values = {"entity": F.lit(entity), **(partitions or {})}
     _, by = LAYOUT[output_type]
-    shaped = rows.select(*names, *[values[p].alias(f"_{p}") for p in by])
+    shaped = rows.select(*names, *[values[p].alias(p) for p in by])
     if _exists(spark, path):
         known = _measure(spark, path, schema)
         if known != tuple(fingerprint(rows.select(*names)).first()):
@@ -85,10 +85,10 @@ def publish(
         return Published(output_type, entity, path, known[0], str(known[1]))
     # Rows of a folder come together; at run time a folder with most of the rows is
     # split over several tasks and small ones are merged.
-    shaped = shaped.hint("rebalance", *[f"_{p}" for p in by])
+    shaped = shaped.hint("rebalance", *by)
     if sort:
-        shaped = shaped.sortWithinPartitions(*[f"_{p}" for p in by], *sort)
-    shaped.write.mode("overwrite").partitionBy(*[f"_{p}" for p in by]).option(
+        shaped = shaped.sortWithinPartitions(*by, *sort)
+    shaped.write.mode("overwrite").partitionBy(*by).option(
         "compression", "zstd"
     ).parquet(path)
     written = _measure(spark, path, schema)
@@ -96,9 +96,9 @@ def publish(
 
 
 def _measure(spark: SparkSession, path: str, schema: T.StructType) -> tuple[int, int]:
-    return tuple(fingerprint(spark.read.schema(schema).parquet(path)).first())
+    return tuple(fingerprint(read_published(spark, path, schema)).first())
 
 
 def read_published(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A published output with its schema enforced."""
-    return spark.read.schema(schema).parquet(path)
+    """A published output with its schema enforced, without its folder columns."""
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())

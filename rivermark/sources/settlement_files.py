@@ -7,6 +7,7 @@ put together again only in files that have them.
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,16 +26,15 @@ _MISSING = "\u0002"
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files of a folder by name, without reading them: path, name, size and time."""
-    return (
-        spark.read.format("binaryFile")
-        .load(path)
-        .select(
-            "path",
-            F.element_at(F.split("path", "/"), -1).alias("file_name"),
-            "length",
-            F.col("modificationTime").alias("modified_at"),
-        )
+    """Files of a folder by name, empty ones included: path, name and size."""
+    reader = spark.read.format("binaryFile").load(path)
+    filled = _plain(reader.select("path", "length"))
+    names = [(unquote(name),) for name in reader.inputFiles()]
+    every = _plain(spark.createDataFrame(names, "path string"))
+    return every.join(filled, "path", "left").select(
+        "path",
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.coalesce("length", F.lit(0)).alias("length"),
     )
 
 
@@ -48,9 +48,10 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_place"),
             F.regexp_replace("value", "\r$", "").alias("line"),
+            (~F.is_valid_utf8("value")).alias("_garbled"),
         )
     )
-    return rows.withColumn("path", F.url_decode(F.regexp_replace("path", r"\+", "%2B")))
+    return _plain(rows.withColumn("path", F.url_decode(F.regexp_replace("path", r"\+", "%2B"))))
 
 
 def content_ids(spark: SparkSession, path: str, *, whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
@@ -63,9 +64,9 @@ def content_ids(spark: SparkSession, path: str, *, whole_bytes: int = WHOLE_FILE
     small = files.where(F.col("length") <= whole_bytes).select(
         "path", F.sha2("content", 256).alias("checksum_sha256")
     )
-    large = list_files(spark, path).where(F.col("length") > whole_bytes).select("path")
+    large = files.where(F.col("length") > whole_bytes).select("path")
     if large.isEmpty():
-        return small
+        return _plain(small)
     lines = read_lines(spark, path).join(_plain(large), "path", "left_semi")
     numbered = scan.row_number(
         lines, groups=["path"], levels=["_block"], order=["_place"], name="_number"
@@ -92,18 +93,33 @@ def _field_pattern(delimiter: str) -> str:
     return rf'(?:"(?:[^"]|"")*+"|[^"{sep}][^{sep}]*+|)'
 
 
-def _records(lines: DataFrame, contract: Contract) -> DataFrame:
-    """Adds ``number`` (1 for the header) and glues lines a quoted field runs over."""
+def _line_facts(lines: DataFrame, contract: Contract) -> DataFrame:
+    """One row per file: its header, and whether lines are garbled or leave a quote open."""
     sep, field = re.escape(contract.delimiter), _field_pattern(contract.delimiter)
     opens = F.col("line").rlike(rf'^(?:{field}{sep})*+"(?:[^"]|"")*+$')
-    broken = lines.where(opens).select("path").distinct().withColumn("_broken", F.lit(True))
-    marked = lines.join(broken, "path", "left")
-    whole = marked.where(F.col("_broken").isNull()).drop("_broken")
+    at_start = F.col("_block") == 0
+    return lines.groupBy("path").agg(
+        F.min_by(F.when(at_start, F.col("line")), F.when(at_start, F.col("_place"))).alias(
+            "_header"
+        ),
+        F.min_by(F.when(at_start, F.col("_garbled")), F.when(at_start, F.col("_place"))).alias(
+            "_garbled_header"
+        ),
+        F.count_if("_garbled").alias("_garbled_lines"),
+        F.bool_or(opens).alias("_torn"),
+    )
+
+
+def _records(lines: DataFrame, facts: DataFrame, contract: Contract) -> DataFrame:
+    """Adds ``number`` (1 for the header) and glues lines a quoted field runs over."""
     place = {"groups": ["path"], "levels": ["_block"], "order": ["_place"]}
+    torn_files = facts.where("_torn").select("path")
+    if torn_files.isEmpty():
+        return scan.row_number(lines.where("line <> ''"), name="number", **place)
+    whole = lines.join(torn_files, "path", "left_anti")
+    torn = lines.join(torn_files, "path")
     quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
-    torn = scan.running_total(
-        marked.where("_broken").drop("_broken"), value=quotes, name="_quotes", **place
-    )
+    torn = scan.running_total(torn, value=quotes, name="_quotes", **place)
     inside = ((F.col("_quotes") - quotes) % 2) == 1
     torn = scan.running_total(
         torn.withColumn("_inside", inside),
@@ -147,48 +163,54 @@ def read_settlements(
     contract: Contract,
     *,
     expected_partner: str | Column | None = None,
+    work: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """All settlement files of a folder: raw rows of the good files, and one row per file.
 
     File rows carry ``error_code`` (NULL when rows can be judged), the parts of the
     file name and the content hash. Raw rows carry the contract's columns as text;
-    NULL means the record was too short for the column.
+    NULL means the record was too short for the column. With ``work``, a folder the
+    cluster shares, the file facts and the records are written there and read once.
     """
     lines = read_lines(spark, path)
-    records = _records(lines, contract)
+    facts = _line_facts(lines, contract)
+    if work:
+        facts.write.parquet(f"{work}/line-facts")
+        facts = spark.read.parquet(f"{work}/line-facts")
+    records = _records(lines, facts, contract).select("path", "number", "line")
+    if work:
+        records.write.parquet(f"{work}/records")
+        records = spark.read.parquet(f"{work}/records")
     field, sep = _field_pattern(contract.delimiter), re.escape(contract.delimiter)
     wellformed = F.col("line").rlike(rf"^{field}(?:{sep}{field})*+$")
     options = {"sep": contract.delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
     padded = F.concat("line", F.lit((contract.delimiter + _MISSING) * len(contract.fields)))
     row = F.from_csv(padded, contract.raw_schema().simpleString()[7:-1].replace(":", " "), options)
 
-    first = lines.where("_block = 0").groupBy("path").agg(
-        F.min_by("line", "_place").alias("_header")
-    )
-    facts = records.groupBy("path").agg(
-        F.count_if(~F.is_valid_utf8("line")).alias("_bad_text"),
+    counts = records.groupBy("path").agg(
         F.count_if(~wellformed).alias("_bad_lines"),
         F.count_if(F.col("number") > 1).alias("record_count"),
     )
     header = F.regexp_replace("_header", '"', "")
     names = inventory.parse_file_names(
-        _plain(list_files(spark, path)), contract, expected_partner=expected_partner
+        list_files(spark, path), contract, expected_partner=expected_partner
     )
     code = (
         F.when(F.col("error_code").isNotNull(), F.col("error_code"))
         .when(F.col("_header").isNull(), "EMPTY_FILE")
-        .when(~F.is_valid_utf8("_header"), "INVALID_ENCODING")
+        .when(F.col("_garbled_header"), "INVALID_ENCODING")
         .when(header != contract.delimiter.join(contract.names), "INVALID_FILE_SCHEMA")
-        .when(F.col("_bad_text") > 0, "INVALID_ENCODING")
+        .when(F.col("_garbled_lines") > 0, "INVALID_ENCODING")
         .when(F.col("_bad_lines") > 0, "INVALID_CSV")
         .when(F.coalesce("record_count", F.lit(0)) == 0, "EMPTY_FILE")
     )
     files = (
-        names.join(first, "path", "left")
-        .join(facts, "path", "left")
-        .join(_plain(content_ids(spark, path)), "path", "left")
+        names.join(facts, "path", "left")
+        .join(counts, "path", "left")
+        .join(content_ids(spark, path), "path", "left")
+        .withColumn("checksum_sha256", F.coalesce("checksum_sha256", F.sha2(F.lit(""), 256)))
         .withColumn("error_code", code)
-        .drop("_header", "_bad_text", "_bad_lines")
+        .drop("_header", "_garbled_header", "_garbled_lines", "_torn", "_bad_lines")
     )
     good = files.where(F.col("error_code").isNull()).select(
         "path",
