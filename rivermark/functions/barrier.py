@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 def computed(df: DataFrame, keep: Sequence[str], **columns: Column) -> DataFrame:
@@ -16,8 +15,7 @@ def computed(df: DataFrame, keep: Sequence[str], **columns: Column) -> DataFrame
     It does not move filters through a generator, here one that yields one row.
     Names in ``columns`` must be new.
     """
-    carried = list(keep)
-    made = df.select(*carried, *[c.alias(n) for n, c in columns.items()])
     # The projection shares common parts between the columns; the generator does not.
-    packed = F.array(F.struct(*[F.col(f"`{n}`").alias(n) for n in columns]))
-    return made.select(*carried, F.inline(packed))
+    made = df.withColumns(columns)
+    packed = ", ".join(f"`{n}`" for n in columns)
+    return made.selectExpr(*[f"`{c}`" for c in keep], f"inline(array(struct({packed})))")

@@ -15,13 +15,18 @@ from .dedup import mark_repeats
 from .quality import rejection_rows, settlement_quality_code
 
 _UUID = r"^[0-9a-fA-F]{32}$"
-_NOT_FINITE = r"(?i)^[+-]?(inf|infinity|s?nan\d*)$"
+_NOT_FINITE = "(?i)^[+-]?(inf|infinity|s?nan[0-9]*)$"
 
-Rule = tuple[str, Column, Column]
+# A rule is a code, the SQL of its test and the message, or SQL of one.
+Rule = tuple[str, str, str]
 
 
-def _rule(code: str, test: Column, message: str) -> Rule:
-    return code, F.coalesce(test, F.lit(False)), F.lit(message)
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "\\'") + "'"
+
+
+def _like(pattern: str | None) -> str:
+    return _text((pattern or "").replace("\\", "\\\\"))
 
 
 def mark_file_duplicates(
@@ -47,24 +52,24 @@ def mark_file_duplicates(
 def _presence_rules(contract: Contract) -> list[Rule]:
     rules = []
     for f in contract.fields:
-        raw, text = F.col(f.name), F.col(f"_text.{f.name}")
+        text = f"_text.{f.name}"
         if f.required:
             rules.append(
-                _rule("REQUIRED_FIELD_MISSING", raw.isNull(), f"{f.name} column value is missing")
+                ("REQUIRED_FIELD_MISSING", f"`{f.name}` IS NULL", f"{f.name} column value is missing")
             )
         if not f.nullable:
             rules.append(
-                _rule(
+                (
                     "REQUIRED_FIELD_EMPTY",
-                    raw.isNotNull() & (text == ""),
+                    f"`{f.name}` IS NOT NULL AND {text} = ''",
                     f"{f.name} must not be empty",
                 )
             )
         if f.max_length:
             rules.append(
-                _rule(
+                (
                     "MAX_LENGTH_EXCEEDED",
-                    F.length(text) > f.max_length,
+                    f"length({text}) > {f.max_length}",
                     f"{f.name} exceeds maximum length",
                 )
             )
@@ -93,20 +98,26 @@ def _decimal_problem(f: Field) -> Column:
 
 
 def _decimal_rules(f: Field) -> list[Rule]:
-    problem, text = F.col(f"_problem.{f.name}"), F.col(f"_text.{f.name}")
-    syntax = F.when(text.rlike(_NOT_FINITE), F.lit(f"{f.name} must be finite")).otherwise(
-        F.lit(f"{f.name} is not a decimal")
-    )
+    problem = f"_problem.{f.name}"
     return [
-        ("INVALID_DECIMAL", F.coalesce(problem == "INVALID_DECIMAL", F.lit(False)), syntax),
-        _rule(
+        (
+            "INVALID_DECIMAL",
+            f"{problem} = 'INVALID_DECIMAL' AND _text.{f.name} RLIKE '{_NOT_FINITE}'",
+            f"{f.name} must be finite",
+        ),
+        (
+            "INVALID_DECIMAL",
+            f"{problem} = 'INVALID_DECIMAL' AND NOT _text.{f.name} RLIKE '{_NOT_FINITE}'",
+            f"{f.name} is not a decimal",
+        ),
+        (
             "DECIMAL_SCALE_EXCEEDED",
-            problem == "DECIMAL_SCALE_EXCEEDED",
+            f"{problem} = 'DECIMAL_SCALE_EXCEEDED'",
             f"{f.name} exceeds scale {f.scale}",
         ),
-        _rule(
+        (
             "DECIMAL_PRECISION_EXCEEDED",
-            problem == "DECIMAL_PRECISION_EXCEEDED",
+            f"{problem} = 'DECIMAL_PRECISION_EXCEEDED'",
             f"{f.name} exceeds precision {f.precision}",
         ),
     ]
@@ -161,93 +172,90 @@ def validate_rows(rows: DataFrame, contract: Contract) -> DataFrame:
         checked.columns,
         typed=F.struct(*[made[n].alias(n) for n in contract.names]),
     )
-    any_clock = fn.iso_timestamp(text["transaction_timestamp"])
-    decimal_rules = {n: _decimal_rules(contract[n]) for n in amounts}
-    value = {n: F.col(f"typed.{n}") for n in contract.names}
-    filled = {n: text[n] != "" for n in contract.names}
+    naive = fn.computed(
+        typed,
+        typed.columns,
+        _any_clock=F.when(
+            F.col("typed.transaction_timestamp").isNull(),
+            fn.iso_timestamp(text["transaction_timestamp"]),
+        ),
+    )
     statuses = contract["settlement_status"].allowed_values
+    allowed = ", ".join(_text(x) for x in statuses)
+    bad_clock = "_text.transaction_timestamp <> '' AND typed.transaction_timestamp IS NULL"
     # Codes, messages and their order.
     rules: list[Rule] = [
-        _rule(
-            "DUPLICATE_ROW", F.col("duplicate_row"), "Identical row already appeared in file"
-        ),
-        _rule(
+        ("DUPLICATE_ROW", "duplicate_row", "Identical row already appeared in file"),
+        (
             "DUPLICATE_SETTLEMENT_REFERENCE",
-            F.col("duplicate_reference"),
+            "duplicate_reference",
             "settlement_reference must be unique within one file",
         ),
         *_presence_rules(contract),
-        _rule(
+        (
             "INVALID_PARTNER_ID",
-            filled["partner_id"] & ~text["partner_id"].rlike(contract["partner_id"].pattern or ""),
+            "_text.partner_id <> '' AND NOT _text.partner_id RLIKE "
+            + _like(contract["partner_id"].pattern),
             "partner_id format is invalid",
         ),
-        _rule(
+        (
             "PARTNER_MISMATCH",
-            filled["partner_id"] & (text["partner_id"] != F.col("file_partner_id")),
+            "_text.partner_id <> '' AND _text.partner_id <> file_partner_id",
             "partner_id does not match the file name",
         ),
-        _rule(
+        (
             "INVALID_SETTLEMENT_DATE",
-            filled["settlement_date"] & value["settlement_date"].isNull(),
+            "_text.settlement_date <> '' AND typed.settlement_date IS NULL",
             "settlement_date is not ISO date",
         ),
-        _rule(
+        (
             "SETTLEMENT_DATE_MISMATCH",
-            value["settlement_date"] != F.col("file_settlement_date"),
+            "typed.settlement_date <> file_settlement_date",
             "settlement_date does not match file name",
         ),
-        _rule(
+        (
             "INVALID_INTERNAL_TRANSACTION_ID",
-            filled["internal_transaction_id"] & value["internal_transaction_id"].isNull(),
+            "_text.internal_transaction_id <> '' AND typed.internal_transaction_id IS NULL",
             "internal_transaction_id is not UUID",
         ),
-        _rule(
+        (
             "INVALID_TRANSACTION_TIMESTAMP",
-            filled["transaction_timestamp"] & value["transaction_timestamp"].isNull()
-            & any_clock.isNull(),
+            f"{bad_clock} AND _any_clock IS NULL",
             "transaction_timestamp is not ISO-8601",
         ),
-        _rule(
+        (
             "TIMESTAMP_TIMEZONE_REQUIRED",
-            filled["transaction_timestamp"] & value["transaction_timestamp"].isNull()
-            & any_clock.isNotNull(),
+            f"{bad_clock} AND _any_clock IS NOT NULL",
             "transaction_timestamp must contain an explicit UTC offset",
         ),
-        *decimal_rules["amount"],
-        _rule(
-            "AMOUNT_NOT_POSITIVE", value["amount"] <= 0, "amount must be greater than zero"
-        ),
-        _rule(
+        *_decimal_rules(contract["amount"]),
+        ("AMOUNT_NOT_POSITIVE", "typed.amount <= 0", "amount must be greater than zero"),
+        (
             "INVALID_CURRENCY",
-            filled["currency"] & ~text["currency"].rlike(contract["currency"].pattern or ""),
+            "_text.currency <> '' AND NOT _text.currency RLIKE "
+            + _like(contract["currency"].pattern),
             "currency must be three uppercase letters",
         ),
-        _rule(
+        (
             "INVALID_SETTLEMENT_STATUS",
-            filled["settlement_status"] & ~text["settlement_status"].isin(*statuses),
+            f"_text.settlement_status <> '' AND NOT _text.settlement_status IN ({allowed})",
             f"settlement_status must be one of {', '.join(statuses)}",
         ),
-        *decimal_rules["fee_amount"],
-        _rule(
-            "NEGATIVE_FEE_AMOUNT", value["fee_amount"] < 0, "fee_amount must be zero or greater"
-        ),
-        *decimal_rules["net_amount"],
-        _rule(
+        *_decimal_rules(contract["fee_amount"]),
+        ("NEGATIVE_FEE_AMOUNT", "typed.fee_amount < 0", "fee_amount must be zero or greater"),
+        *_decimal_rules(contract["net_amount"]),
+        (
             "NET_AMOUNT_INCONSISTENT",
-            value["net_amount"] != value["amount"] - value["fee_amount"],
+            "typed.net_amount <> typed.amount - typed.fee_amount",
             "net_amount must equal amount minus fee_amount",
         ),
     ]
-    found = F.array_compact(
-        F.array(
-            *[
-                F.when(test, F.struct(F.lit(code).alias("code"), message.alias("message")))
-                for code, test, message in rules
-            ]
-        )
+    cases = ", ".join(
+        f"CASE WHEN {test} THEN named_struct('code', {_text(code)}, 'message', {_text(message)}) END"
+        for code, test, message in rules
     )
-    judged = fn.computed(typed, [*rows.columns, "typed"], _found=found)
+    found = F.expr(f"array_compact(array({cases}))")
+    judged = fn.computed(naive, [*rows.columns, "typed"], _found=found)
     codes = F.array_join(F.array_distinct(F.col("_found.code")), "|")
     messages = F.array_join(F.col("_found.message"), "; ")
     return judged.select(

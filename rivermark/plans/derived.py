@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import scan
-from ..session import configure
+from ..session import configure, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -158,7 +158,7 @@ SQL["d_wire"] = f"""d_wire AS (
 
 def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka source rows whose values are change envelopes, some of them damaged."""
-    return wire_columns(table(spark, sf_dir, "events"))
+    return wire_columns(spread(table(spark, sf_dir, "events")))
 
 
 def wire_columns(events: DataFrame) -> DataFrame:
@@ -231,7 +231,7 @@ SQL["d_settle"] = (
 
 def settle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Settlement rows as text, one file per partner and day, faults included."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     rows = lines.selectExpr(
         *[f"{e.format(text='STRING')} AS {n}" for n, e in _SETTLE.items()],
         f"{_file_name('STRING')} AS source_file_name",
@@ -265,7 +265,7 @@ SQL["d_pay"] = """d_pay AS (
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments with customer, account and merchant references."""
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.col("o_orderkey").cast("string").alias("transaction_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("o_custkey").cast("string").alias("account_id"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results: dates and clocks are UTC, and a JSON object that
 # repeats a field keeps the last one.
@@ -40,6 +40,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give costly row work all cores when a source has fewer splits than cores.
+
+    Sources of cluster size have more splits than that and pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new directory below the session's shared checkpoint folder.
 
