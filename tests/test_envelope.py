@@ -11,7 +11,7 @@ from rivermark.operators import envelope, normalize
 from rivermark.schemas import KAFKA
 
 AT = datetime(2025, 7, 22, tzinfo=UTC)
-TOPIC = "fintech.cdc.payments.payment_transactions"
+TOPIC = "app.cdc.payment_transactions"
 
 
 def change(op="c", before=None, after=None, **source):
