@@ -30,6 +30,8 @@ _STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    # Without it each store takes several MB of disk before it holds a row.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -69,13 +71,16 @@ def digest_state(
             .start()
         )
         stream.awaitTermination()
-    kept = spark.read.format("statestore").load(checkpoint)
-    keeper, n = (f.name for f in kept.schema["value"].dataType.fields)
-    return kept.select(
-        F.col("key.digest").alias("digest"),
-        F.col("value")[keeper].alias("keeper"),
-        F.col("value")[n].alias("n"),
-    )
+        kept = spark.read.format("statestore").load(checkpoint)
+        keeper, n = (f.name for f in kept.schema["value"].dataType.fields)
+        return stored(
+            kept.select(
+                F.col("key.digest").alias("digest"),
+                F.col("value")[keeper].alias("keeper"),
+                F.col("value")[n].alias("n"),
+            ),
+            "exact-state",
+        )
 
 
 def exact_duplicates(
@@ -113,10 +118,7 @@ def exact_duplicates(
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.row_index").alias("at"),
     )
-    state = stored(
-        digest_state(spark, f"{work}/landed", f"{work}/checkpoint", files_per_batch=files_per_batch),
-        "exact-state",
-    )
+    state = digest_state(spark, f"{work}/landed", f"{work}/checkpoint", files_per_batch=files_per_batch)
     repeated = state.filter("n > 1")
     marks = repeated.select(F.substring("digest", 1, 5).alias("mark")).distinct()
     place = F.struct("file", "at")
