@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, stored
+from .common import BROADCAST_BYTES, ship, stored
 from .url_filter import split_url
 
 # Importance below which a branch is removed, share of content in it, and the pages an
@@ -287,6 +287,7 @@ def extract_text(
     itself the text. A NULL URL, or one without a host, belongs to the host ``''``.
     Repeated rows get equal texts; empty tables give no rows; other columns are ignored.
     """
+    ship(pages.sparkSession)
     host, _ = split_url(F.coalesce(F.col("url"), F.lit("")))
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html")

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
 from .textbytes import mix, slices, word_bounds, word_hashes
 
 BUCKETS = 1 << 18
@@ -201,4 +202,5 @@ def with_quality(docs: DataFrame, model: Model, *, text: str = "text", name: str
     NULL is scored as the empty text. Repeated rows score alike, empty tables are fine.
     A column called ``name`` is replaced, so name one that is free.
     """
+    ship(docs.sparkSession)
     return docs.withColumn(name, scorer(model)(F.coalesce(F.col(text), F.lit(""))))

@@ -4,21 +4,64 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
+from .html_text import extract_text
+from .lm import score_texts
 from .mixing import mix
+from .quality import fold, quality_model, with_quality
+from .toxicity import toxicity_model, with_toxicity
 from .url_filter import judge_urls
 
 
+def _scored(docs: DataFrame, held_out: Column) -> DataFrame:
+    return docs.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model(docs, table(spark, sf_dir, "labels"), usable=fold(F.col("id"), 3) != 1)
+    return _scored(with_quality(docs, model), fold(F.col("doc_id"), 3) == 1)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity_model(docs, table(spark, sf_dir, "labels"), usable=fold(F.col("id"), 5) != 0)
+    return _scored(with_toxicity(docs, lexicon), fold(F.col("doc_id"), 5) == 0)
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = extract_text(table(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words to take of each document so that sources meet their targets."""
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 1
+    scored = score_texts(docs, training=~held_out)
+    return scored.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in each document."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -43,7 +86,17 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_mixing, op7_decontamination, op9_exact_dedup, op10_url_filter)
+    f.__name__: f
+    for f in (
+        op1_quality,
+        op2_toxicity,
+        op3_html_text,
+        op4_mixing,
+        op5_lm_scores,
+        op7_decontamination,
+        op9_exact_dedup,
+        op10_url_filter,
+    )
 }
 
 ORACLES = {

@@ -25,8 +25,8 @@ def slices(texts: pa.Array, size: int = SLICE) -> Iterator[tuple[int, np.ndarray
     """Number of the first text, starts of the texts in the slice (with the end), bytes.
 
     NULL texts are empty. A slice holds whole texts of ``size`` bytes together, or a
-    part of one longer text: such a text is cut after a blank where there is one in the
-    second half of a part, so a cut depends on that text alone.
+    part of one longer text: such a text is cut after the last blank of a part's second
+    half or else the next blank, so words stay whole and a cut depends on that text alone.
     """
     if len(texts) == 0:
         return
@@ -46,8 +46,10 @@ def slices(texts: pa.Array, size: int = SLICE) -> Iterator[tuple[int, np.ndarray
                 right = min(end, left + size)
                 if right < end:
                     blanks = np.flatnonzero(BLANK[every[left + size // 2 : right]])
-                    if len(blanks):
-                        right = left + size // 2 + int(blanks[-1]) + 1
+                    while not len(blanks) and right < end:
+                        blanks = np.flatnonzero(BLANK[every[right : right + size]])[:1] + (right - left - size // 2)
+                        right = min(end, right + size)
+                    right = left + size // 2 + int(blanks[-1]) + 1 if len(blanks) else end
                 yield first, np.array([0, right - left]), every[left:right]
                 left = right
         else:

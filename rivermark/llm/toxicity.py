@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
+from .common import ship
 from .quality import labelled_sample, scorer
 
 # Labelled texts to learn from at most, half of it per class; those of smallest hash.
@@ -225,4 +226,5 @@ def with_toxicity(docs: DataFrame, lexicon: Lexicon, *, text: str = "text", name
     NULL is scored as the empty text. Repeated rows score alike, empty tables are fine.
     A column called ``name`` is replaced, so name one that is free.
     """
+    ship(docs.sparkSession)
     return docs.withColumn(name, scorer(lexicon)(docs[text]))
