@@ -13,6 +13,7 @@ from .exact_dedup import exact_duplicates
 from .html_text import extract_text
 from .lm import score_texts
 from .mixing import mix
+from .near_dedup import near_duplicates
 from .quality import fold, quality_model, with_quality
 from .toxicity import toxicity_model, with_toxicity
 from .url_filter import judge_urls
@@ -75,6 +76,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("key")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts and the row of each that stays."""
     return exact_duplicates(table(spark, sf_dir, "documents"))
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_mixing,
         op5_lm_scores,
         op7_decontamination,
+        op8_near_dedup,
         op9_exact_dedup,
         op10_url_filter,
     )
