@@ -46,8 +46,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with the words that the mix takes of it."""
-    return mix(docs, keep=[c for c in docs.columns if c != "doc_id"])
+    """Every document with the words that the mix takes of it.
+
+    An input column named like one of the mix's is replaced by it.
+    """
+    own = ("doc_id", "size", "source_size", "target", "taken")
+    return mix(docs, keep=[c for c in docs.columns if c not in own])
 
 
 STAGES = [
