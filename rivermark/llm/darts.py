@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -156,31 +157,47 @@ def digest(word: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np
     return out[0], out[1]
 
 
-def similarities(left: pa.Array, right: pa.Array, *, weighted: bool) -> np.ndarray:
-    """Jaccard similarity of the texts' runs of words, row by row; 0 without words.
+@dataclass
+class Overlaps:
+    """Rows ``first`` to ``first + len(common)`` of two columns of texts: weight of either
+    text's runs of words, weight in common, and the left text's runs (row, element,
+    weight) beyond the right one's."""
 
-    ``weighted`` counts how often a run occurs.
-    """
-    out = np.zeros(len(left))
-    size = np.zeros(len(left), np.int64)
-    for side in (left, right):
-        size += np.diff(np.frombuffer(side.buffers()[1], np.int64 if pa.types.is_large_string(side.type) else np.int32)[side.offset : side.offset + len(side) + 1])
-    upto = np.cumsum(size)
+    first: int
+    left: np.ndarray
+    right: np.ndarray
+    common: np.ndarray
+    beyond: tuple[np.ndarray, np.ndarray, np.ndarray]
+
+    def similarity(self) -> np.ndarray:
+        """Jaccard similarity; 0 without words."""
+        return self.common / np.maximum(self.left + self.right - self.common, 1)
+
+
+def _sizes(texts: pa.Array) -> np.ndarray:
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    return np.diff(np.frombuffer(texts.buffers()[1], kind)[texts.offset : texts.offset + len(texts) + 1])
+
+
+def overlaps(left: pa.Array, right: pa.Array, *, weighted: bool) -> Iterator[Overlaps]:
+    """Compare texts row by row; ``weighted`` counts how often a run occurs."""
+    bits, mask = np.uint64(_SHINGLE_BITS), np.uint64((1 << _SHINGLE_BITS) - 1)
+    upto = np.cumsum(_sizes(left).astype(np.int64) + _sizes(right))
     low = 0
     while low < len(left):
         high = max(low + 1, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + (4 << 20), "right")))
-        keys, times = [], []
+        keys, times, totals = [], [], []
         for side in (left, right):
             rows = [(first, *shingles(word, doc, docs)) for first, docs, word, doc in text_words(side[low:high])]
-            keys.append(np.concatenate([((doc + first).astype(np.uint64) << np.uint64(_SHINGLE_BITS)) | e for first, doc, e, _ in rows]))
+            keys.append(np.concatenate([((doc + first).astype(np.uint64) << bits) | e for first, doc, e, _ in rows]))
             times.append(np.concatenate([t if weighted else np.ones(len(t), np.int64) for *_, t in rows]))
-        totals = sum(
-            np.bincount((k >> np.uint64(_SHINGLE_BITS)).astype(np.int64), t, minlength=high - low) for k, t in zip(keys, times, strict=True)
-        )
+            totals.append(np.bincount((keys[-1] >> bits).astype(np.int64), times[-1], minlength=high - low))
         both, a, b = np.intersect1d(*keys, assume_unique=True, return_indices=True)
-        common = np.bincount(
-            (both >> np.uint64(_SHINGLE_BITS)).astype(np.int64), np.minimum(times[0][a], times[1][b]), minlength=high - low
-        )
-        out[low:high] = common / np.maximum(totals - common, 1)
+        shared = np.minimum(times[0][a], times[1][b])
+        common = np.bincount((both >> bits).astype(np.int64), shared, minlength=high - low)
+        more = times[0].copy()
+        more[a] -= shared
+        at = np.flatnonzero(more)
+        beyond = ((keys[0][at] >> bits).astype(np.int64), (keys[0][at] & mask).astype(np.int64), more[at])
+        yield Overlaps(low, totals[0], totals[1], common, beyond)
         low = high
-    return out
