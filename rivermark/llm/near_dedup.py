@@ -12,7 +12,8 @@ Texts are compared as sets of runs of five words (with ``weighted``, as multiset
    the pivot helps: two texts that are similar though one isn't similar to the pivot
    share a run of words that the pivot lacks, or else the other is smaller than the pivot
    and both have so much of it as their similarity takes. So pairs are found by a join on
-   the runs beyond the pivot, and by one on sizes; few do without being similar.
+   the runs beyond the pivot, in which the rarest shared run must leave room for all that
+   the pair has to share, and by one on sizes; few do without being similar.
 5. The components of all links are the classes.
 
 Compared are the texts themselves: every pair's similarity is exact. A pair of
@@ -26,6 +27,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import row_key, ship, stored
@@ -117,21 +119,21 @@ def _pairs_by_pivot(legs: DataFrame, similarity: float) -> DataFrame:
     the pivot of their bucket (``pivot, node, label, size, common, pivot_size, beyond``)."""
     share = similarity / (1 + similarity)
     slack = 1e-9
-    runs = legs.select("pivot", "node", "label", "size", "common", F.explode("beyond").alias("r")).select(
+    each = legs.select("pivot", "node", "label", "size", "common", F.explode("beyond").alias("r")).select(
         "pivot", "node", "label", "size", "common", F.col("r.s").alias("s"), F.col("r.w").alias("w")
     )
-    one, two = ([F.col(c).alias(f"{c}_{k}") for c in ("node", "label", "size", "common", "w")] for k in "ab")
+    # A node's runs by rarity, each with its weight and that of the more frequent ones:
+    # what two nodes can share if this is the first run they have in common.
+    often = each.groupBy("pivot", "s").agg(F.count(F.lit(1)).alias("often"))
+    later = W.partitionBy("pivot", "node").orderBy("often", "s").rowsBetween(0, W.unboundedFollowing)
+    runs = each.join(often, ["pivot", "s"]).withColumn("rest", F.sum("w").over(later)).filter("often > 1")
+    one, two = ([F.col(c).alias(f"{c}_{k}") for c in ("node", "label", "size", "common", "rest")] for k in "ab")
+    needed = share * (F.col("size_a") + F.col("size_b")) - F.least("common_a", "common_b") - slack
     meeting = (
         runs.select("pivot", "s", *one)
         .join(runs.select("pivot", "s", *two), ["pivot", "s"])
         .filter("node_a < node_b AND label_a <> label_b")
-        .groupBy("pivot", "node_a", "node_b")
-        .agg(
-            F.sum(F.least("w_a", "w_b")).alias("outside"),
-            F.first(F.least("common_a", "common_b")).alias("inside"),
-            F.first(F.col("size_a") + F.col("size_b")).alias("sizes"),
-        )
-        .filter(F.col("outside") + F.col("inside") >= share * F.col("sizes") - slack)
+        .filter(F.least("rest_a", "rest_b") >= needed)
     )
     # The largest partner that a node's part of the pivot suffices for.
     room = legs.select(
