@@ -49,7 +49,7 @@ def _signer(weighted: bool):
                 weight = times.astype(float) if weighted else np.ones(len(times))
                 keys = bands(signatures(of, element, weight, docs))
                 high, low = digest(word, doc, docs)
-                size = np.bincount(of, weight, minlength=docs)
+                size = np.bincount(of, weight, minlength=docs).astype(float)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(docs + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel())
                 )

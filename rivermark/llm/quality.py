@@ -106,7 +106,7 @@ def train(texts: list[str], labels: list[int], *, epochs: int = EPOCHS, rate: fl
     With labels of one class only, every text is that class; without labels, 0.5.
     """
     y = np.asarray(labels, int)
-    share = np.bincount(y, minlength=2) / max(1, len(y)) if len(y) else np.array([0.5, 0.5])
+    share = np.bincount(y, minlength=2) / max(1, len(y))
     if share.min() == 0:
         return Model(np.zeros(BUCKETS, np.float32), float(np.sign(share[1] - share[0]) * 4.0))
     random = np.random.default_rng(seed)

@@ -146,7 +146,7 @@ def _uses(texts: Sequence[str]) -> tuple[Counter, int]:
     pairs = set()
     for text in texts:
         words = _WORD.findall(fold(text))
-        pairs.update(zip([""] + words[:-1], words, strict=True))
+        pairs.update(zip(["", *words], words, strict=False))
     counts = Counter()
     for word, n in Counter(w for _, w in pairs if len(w) > 2).items():
         counts[word, True] += n

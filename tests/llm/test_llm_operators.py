@@ -99,7 +99,7 @@ def test_clean_texts_and_exceptions_are_not(text):
 
 def test_lexicon_learns_stems_but_not_from_copies():
     rng = random.Random(2)
-    common = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
+    common = [f"{a}{b}" for a in ("al", "be", "ga", "de", "om", "si") for b in ("pha", "ta", "mma", "lta", "ega", "gma", "ra")]
     clean = [" ".join(rng.choices(common, k=40)) for _ in range(80)]
     toxic = [" ".join(rng.choices(common, k=30) + [f"zorb{rng.choice('aeiou')}k"] + rng.choices(common, k=9)) for _ in range(30)]
     copy = "omega rareword " + toxic[0]
