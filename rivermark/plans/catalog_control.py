@@ -411,7 +411,11 @@ def bronze_discovery(spark, sf_dir):
         ).alias("object_key")
     )
     return inventory.discover(
-        objects, source_type="CDC", from_date=date(2024, 1, 10), to_date=date(2024, 1, 20)
+        objects,
+        source_type="CDC",
+        from_date=date(2024, 1, 10),
+        to_date=date(2024, 1, 20),
+        max_objects=100,
     )
 
 

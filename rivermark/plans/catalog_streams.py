@@ -103,7 +103,7 @@ def stream_dedup(spark, sf_dir):
         F.col("ts").cast("timestamp").alias("ts"),
         F.explode(F.sequence(F.lit(0), F.lit(1))).alias("delivery"),
     )
-    kept = without_replays(events, clock="ts", delay="2 hours")
+    kept = without_replays(events)
     (
         kept.select("kafka_partition", "kafka_offset", "event_type")
         .writeStream.format("parquet")

@@ -46,17 +46,22 @@ class RunResult:
 
 
 def bronze_objects(spark: SparkSession, path: str) -> DataFrame:
-    """Bronze files as ``object_key`` and URI."""
+    """Bronze files as ``object_key``, URI and identity, listed without reading them.
+
+    A file's name holds its entity, date and offset range and is never written again with
+    other rows, so name and length identify its content.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(path)
     )
+    key = F.concat(F.lit("cdc/"), F.regexp_extract("path", r"(entity=.*)$", 1))
     return files.select(
-        F.concat(F.lit("cdc/"), F.regexp_extract("path", r"(entity=.*)$", 1)).alias("object_key"),
+        key.alias("object_key"),
         F.col("path").alias("input_object_uri"),
-        "content",
+        F.sha2(F.concat_ws("|", key, F.col("length").cast("string")), 256).alias("input_checksum"),
     )
 
 
@@ -108,7 +113,7 @@ def run_cdc_silver(
     from_date: date | None = None,
     to_date: date | None = None,
     prefix: str | None = None,
-    max_objects: int | None = inventory.MAX_OBJECTS,
+    max_objects: int | None = None,
     run_id: str | None = None,
     at: datetime | None = None,
     code_version: str = CODE_VERSION,
@@ -116,7 +121,8 @@ def run_cdc_silver(
     """Process the Bronze objects of an entity that were never attempted, in one run.
 
     The objects of a run form one batch: duplicates are found across all of them.
-    Objects that cannot be read are quarantined and do not stop the others.
+    Objects that cannot be read are quarantined and do not stop the others. All pending
+    objects are taken, or the first ``max_objects`` in offset order.
     """
     configure(spark)
     run_id, at = run_id or str(uuid.uuid4()), at or datetime.now(UTC)
@@ -128,16 +134,16 @@ def run_cdc_silver(
         from_date=from_date,
         to_date=to_date,
         prefix=prefix,
-        max_objects=max_objects,
     ).select(
+        "object_key",
         "input_object_uri",
-        F.sha2("content", 256).alias("input_checksum"),
+        "input_checksum",
         F.lit(PIPELINE).alias("pipeline_name"),
         F.lit(code_version).alias("code_version"),
         F.lit(normalize.SILVER_VERSION).alias("schema_version"),
     )
-    pending = ledger.unprocessed(found, runs, force=force)
-    # One row per object of a bounded run.
+    # A bound counts what is left to do, so later runs go on behind it.
+    pending = inventory.in_order(ledger.unprocessed(found, runs, force=force), max_objects=max_objects)
     names = [r["input_object_uri"] for r in pending.select("input_object_uri").collect()]
     result = RunResult(run_id, entity, "SKIPPED", len(names))
     if not names:

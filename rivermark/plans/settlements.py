@@ -34,6 +34,7 @@ class SettlementResult:
     rejected_record_count: int = 0
     gate: str = "PASS"
     outputs: list[Published] = field(default_factory=list)
+    duplicate_files: int = 0
 
 
 def classify_files(files: DataFrame, runs: DataFrame) -> DataFrame:
@@ -48,6 +49,22 @@ def classify_files(files: DataFrame, runs: DataFrame) -> DataFrame:
     return ledger.duplicate_kind(files.withColumn("partner_id", owner), known)
 
 
+def first_of_content(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Files that are the first of their partner with their content, and the others.
+
+    The first is the one of smallest name, so a content is registered once per run. Files
+    that are refused as such are neither first nor copies: each keeps its evidence.
+    """
+    keys = ["partner_id", "input_checksum"]
+    sound = files.where(F.col("error_code").isNull())
+    first = sound.groupBy(*keys).agg(F.min(F.struct("file_name", "path")).alias("_first"))
+    marked = files.join(first, keys, "left").withColumn(
+        "_is_first", F.col("error_code").isNotNull() | (F.col("_first.path") == F.col("path"))
+    )
+    one, other = (marked.where(c).select(*files.columns) for c in (F.col("_is_first"), ~F.col("_is_first")))
+    return one, other
+
+
 def run_settlements(
     spark: SparkSession,
     *,
@@ -87,8 +104,8 @@ def run_settlements(
         F.lit(contract.schema_version).alias("schema_version"),
     ).write.parquet(f"{work}/files")
     found = spark.read.parquet(f"{work}/files")
-    pending = ledger.unprocessed(found, runs, force=force)
-    result = SettlementResult(run_id, "SKIPPED")
+    pending, copies = first_of_content(ledger.unprocessed(found, runs, force=force))
+    result = SettlementResult(run_id, "SKIPPED", duplicate_files=copies.count())
 
     judged = settlement.validate_rows(
         settlement.mark_file_duplicates(

@@ -9,43 +9,78 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import envelope
 from ..session import configure
 
-# Rows and seconds per micro-batch unless told otherwise.
-BATCH_ROWS = 100
+# Fixed value: seconds between micro-batches unless told otherwise.
 FLUSH_SECONDS = 5
 
+# What a record is, apart from when it was ingested.
+_CONTENT = ("event_key_json", "raw_event_json", "operation", "schema_version")
 
-def write_bronze(parsed: DataFrame, path: str, *, batch_id: int) -> None:
-    """Bronze rows of one micro-batch, in a folder named after the batch.
 
-    A batch that is run again overwrites its own folder, so a replay after a lost
-    commit leaves the same rows. Rows of a partition folder come
-    together, and a folder with most of the rows is split over tasks at run time.
+class RangeConflict(RuntimeError):
+    """An offset range is stored with other records than those that came now."""
+
+
+def _with_range(rows: DataFrame, topic: str, partition: str, offset: str) -> DataFrame:
+    """Add topic, partition and the offset range that the rows of each take."""
+    named = rows.select("*", F.col(topic).alias("topic"), F.col(partition).alias("partition"))
+    spans = named.groupBy("topic", "partition").agg(
+        F.min(offset).alias("offset_start"), F.max(offset).alias("offset_end")
+    )
+    return named.join(spans, ["topic", "partition"])
+
+
+def _stored_folders(rows: DataFrame, path: str, keys: list[str]) -> list[str]:
+    """Folders of the rows' ranges that are there already; a row per folder is looked at."""
+    spark = rows.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    wanted = ["/".join([path, *(f"{k}={r[k]}" for k in keys)]) for r in rows.select(*keys).distinct().collect()]
+    return [f for f in wanted if files.exists(hadoop.Path(f))]
+
+
+def write_bronze(parsed: DataFrame, path: str) -> None:
+    """Bronze rows of one micro-batch, in folders named after their offset ranges.
+
+    A batch that is run again writes the same folders with the same rows. A range that
+    is stored with a record that isn't among the new ones is a ``RangeConflict``, and
+    nothing is written. Rows of a folder come together, and a folder with most of the
+    rows is split over tasks at run time.
     """
-    rows = envelope.bronze_rows(parsed).select(
-        "*",
-        F.col("entity_name").alias("entity"),
-        F.col("kafka_topic").alias("topic"),
-        F.col("kafka_partition").alias("partition"),
+    keys = ["entity", "event_date", "topic", "partition", "offset_start", "offset_end"]
+    bronze = envelope.bronze_rows(parsed)
+    rows = _with_range(
+        bronze.withColumn("entity", F.col("entity_name")), "kafka_topic", "kafka_partition", "kafka_offset"
     )
-    keys = ["entity", "event_date", "topic", "partition"]
+    stored = _stored_folders(rows, path, keys)
+    if stored:
+        identity = ["kafka_topic", "kafka_partition", "kafka_offset"]
+        content = F.xxhash64(*[F.coalesce(F.col(c), F.lit("\x00")) for c in _CONTENT]).alias("content")
+        before = rows.sparkSession.read.schema(bronze.schema).parquet(*stored).select(*identity, content)
+        other = before.join(rows.select(*identity, content), [*identity, "content"], "left_anti")
+        found = other.select(*identity).first()
+        if found:
+            raise RangeConflict("stored with other content: " + ":".join(map(str, found)))
     (
         rows.hint("rebalance", *keys)
         .sortWithinPartitions(*keys, "kafka_offset")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .option("compression", "zstd")
-        .parquet(f"{path}/batch={batch_id}")
+        .parquet(path)
     )
 
 
-def write_poison(parsed: DataFrame, path: str, *, batch_id: int, consumer_group: str) -> None:
-    """Poison evidence of one micro-batch as JSON lines."""
+def write_poison(parsed: DataFrame, path: str, *, consumer_group: str) -> None:
+    """Poison evidence of one micro-batch as JSON lines, by offset range like Bronze."""
     rows = envelope.poison_rows(parsed, consumer_group=consumer_group)
-    rows.select(
-        "*",
-        F.col("original_topic").alias("topic"),
-        F.col("original_partition").alias("partition"),
-    ).write.mode("overwrite").partitionBy("topic", "partition").json(f"{path}/batch={batch_id}")
+    (
+        _with_range(rows, "original_topic", "original_partition", "original_offset")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("topic", "partition", "offset_start", "offset_end")
+        .json(path)
+    )
 
 
 def start_bronze_stream(
@@ -66,10 +101,8 @@ def start_bronze_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = envelope.parse_envelopes(batch)
-        write_poison(
-            parsed, quarantine_path, batch_id=batch_id, consumer_group=consumer_group
-        )
-        write_bronze(parsed, bronze_path, batch_id=batch_id)
+        write_poison(parsed, quarantine_path, consumer_group=consumer_group)
+        write_bronze(parsed, bronze_path)
 
     writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": f"{every_seconds} seconds"}

@@ -12,15 +12,14 @@ from ..schemas import BUSINESS_KEYS, entity_schema
 from ..session import configure
 
 
-def without_replays(events: DataFrame, *, clock: str, delay: str = "1 hour") -> DataFrame:
-    """Drop records whose coordinate was seen within the delay.
+def without_replays(events: DataFrame) -> DataFrame:
+    """Drop records whose coordinate was seen before, however long ago.
 
-    This bounds the streaming state; a later replay is still caught by the fold, which
-    skips positions that are not ahead of the published state.
+    No clock decides, so a record that arrives late for the first time is kept. The
+    state holds one coordinate per record and doesn't expire; keep it in RocksDB where
+    that is much (``spark.sql.streaming.stateStore.providerClass``).
     """
-    return events.withWatermark(clock, delay).dropDuplicatesWithinWatermark(
-        list(dedup.COORDINATE)
-    )
+    return events.dropDuplicates(list(dedup.COORDINATE))
 
 
 def snapshot_path(root: str, version: int) -> str:

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from rivermark.operators import ledger, normalize
 from rivermark.operators.envelope import bronze_rows, parse_envelopes
-from rivermark.plans.cdc_silver import run_all_entities, run_cdc_silver
+from rivermark.plans.cdc_silver import bronze_objects, run_all_entities, run_cdc_silver
 from rivermark.schemas import KAFKA, RUN_LEDGER
 from rivermark.sinks import CollisionError, fingerprint, publish, read_runs
 from rivermark.sources.kafka import file_stream
-from rivermark.streaming import start_bronze_stream, start_state_stream
+from rivermark.streaming import start_bronze_stream, start_state_stream, without_replays
 from rivermark.streaming.state import read_snapshot
 
 AT = datetime(2025, 7, 22, 5, tzinfo=UTC)
@@ -86,7 +86,7 @@ def test_job_over_two_runs(spark, tmp_path):
             record("transaction_events", 0, key="e1", event_version=1, event_payload='{"b":1,"a":2}'),
         ],
     )
-    quarantined = spark.read.json(str(tmp_path / "quarantine/batch=*"))
+    quarantined = spark.read.json(str(tmp_path / "quarantine"))
     assert [r["error_code"] for r in quarantined.collect()] == ["MALFORMED_JSON"]
     trial = run_cdc_silver(spark, entity="customers", dry_run=True, **options(tmp_path))
     assert trial.input_record_count == 3 and not (tmp_path / "ledger").exists()
@@ -143,7 +143,7 @@ def test_job_over_two_runs(spark, tmp_path):
 
 def test_incompatible_objects_are_quarantined(spark, tmp_path):
     ingest(spark, tmp_path, [record("customers", 0, full_name="Ann Lee")])
-    bad = tmp_path / "bronze/batch=9/entity=customers/event_date=2025-07-22/topic=t/partition=0"
+    bad = tmp_path / "bronze/entity=customers/event_date=2025-07-22/topic=t/partition=0/offset_start=0/offset_end=2"
     spark.range(3).coalesce(1).write.parquet(str(bad))
     result = run_cdc_silver(spark, entity="customers", **options(tmp_path))
     assert (result.status, result.quarantined_objects) == ("COMPLETED", 1)
@@ -153,6 +153,69 @@ def test_incompatible_objects_are_quarantined(spark, tmp_path):
     assert "missing:after_json" in message
 
 
+def test_bounded_runs_work_off_the_backlog_in_offset_order(spark, tmp_path):
+    for n in (1, 0, 2):
+        ingest(spark, tmp_path, [record("customers", n, key=f"k{n}", full_name=f"N{n}")])
+    done = [run_cdc_silver(spark, entity="customers", max_objects=1, **options(tmp_path)) for _ in range(4)]
+    assert [r.status for r in done] == ["COMPLETED"] * 3 + ["SKIPPED"]
+    offsets = [[r["kafka_offset"] for r in output(spark, d, "history").collect()] for d in done[:3]]
+    assert offsets == [[0], [1], [2]]
+
+
+def test_all_pending_objects_are_taken_by_default(spark, tmp_path):
+    rows = [record("customers", n, key=f"k{n}", full_name="N") for n in range(130)]
+    bronze = bronze_rows(parse_envelopes(spark.createDataFrame(rows, KAFKA), ingested_at=AT))
+    bronze.withColumns(
+        {"entity": F.lit("customers"), "topic": F.lit("t"), "partition": F.lit(0), "offset_start": "kafka_offset"}
+    ).write.partitionBy("entity", "event_date", "topic", "partition", "offset_start").parquet(str(tmp_path / "bronze"))
+    result = run_cdc_silver(spark, entity="customers", **options(tmp_path))
+    assert (result.objects, result.input_record_count) == (130, 130)
+
+
+def test_discovery_lists_without_content(spark, tmp_path):
+    ingest(spark, tmp_path, [record("customers", 0, full_name="A")])
+    plan = bronze_objects(spark, str(tmp_path / "bronze"))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+
+
+def test_new_checkpoint_keeps_bronze(spark, tmp_path):
+    def start(name, offsets, **fields):
+        records = [record("customers", n, key=f"k{n}", **fields) for n in offsets] + [record("customers", 90, raw="?")]
+        feed(spark, tmp_path / name, records)
+        start_bronze_stream(
+            file_stream(spark, str(tmp_path / name), max_files=1),
+            bronze_path=str(tmp_path / "bronze"),
+            quarantine_path=str(tmp_path / "quarantine"),
+            checkpoint=str(tmp_path / f"{name}-checkpoint"),
+        ).awaitTermination()
+
+    def offsets():
+        return sorted(r["kafka_offset"] for r in spark.read.parquet(str(tmp_path / "bronze")).collect())
+
+    start("one", [0, 1], full_name="A")
+    start("two", [50], full_name="A")
+    assert offsets() == [0, 1, 50]
+    start("three", [0, 1], full_name="A")
+    assert offsets() == [0, 1, 50] and spark.read.json(str(tmp_path / "quarantine")).count() == 1
+    with pytest.raises(Exception, match="stored with other content"):
+        start("four", [0, 1], full_name="B")
+    assert offsets() == [0, 1, 50]
+
+
+def test_replays_are_dropped_and_late_records_kept(spark, tmp_path):
+    for hour in (100, 101, 0, 1, 0):
+        data = [("t", 0, hour, AT + timedelta(hours=hour))]
+        spark.createDataFrame(data, "kafka_topic string, kafka_partition int, kafka_offset int, ts timestamp").coalesce(
+            1
+        ).write.mode("append").parquet(str(tmp_path / "in"))
+    events = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).option("maxFilesPerTrigger", 1)
+    without_replays(events.parquet(str(tmp_path / "in"))).writeStream.format("parquet").option(
+        "path", str(tmp_path / "out")
+    ).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    kept = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(r["kafka_offset"] for r in kept) == [0, 1, 100, 101]
+
+
 def test_unsupported_versions_are_quarantined(spark, tmp_path):
     messages = spark.createDataFrame([record("customers", 0, full_name="A")], KAFKA)
     rows = bronze_rows(parse_envelopes(messages, schema_version="cdc-bronze-v2", ingested_at=AT))

@@ -234,6 +234,14 @@ def test_contract_checks(tmp_path):
         load_contract(tmp_path / "none.json")
 
 
+def test_equal_files_of_one_run_are_settled_once(spark, tmp_path):
+    for number in ("001", "002"):
+        write(tmp_path / "in", [row(1), row(2)], name=f"settlement_VCB_2026-07-22_{number}.csv")
+    result = run(spark, tmp_path)
+    assert (result.processed_files, result.duplicate_files, result.output_record_count) == (1, 1, 2)
+    assert run(spark, tmp_path).status == "SKIPPED"
+
+
 def source_text():
     from rivermark.operators.contract import DEFAULT_PATH
 
@@ -256,3 +264,5 @@ def test_backfill_requests():
     ):
         with pytest.raises(ValueError):
             inventory.backfill_request({**good, **bad})
+    with pytest.raises(ValueError, match="request_id.*entity.*to_date"):
+        inventory.backfill_request({"source_type": "cdc", "entity": "x", "to_date": "soon"})
