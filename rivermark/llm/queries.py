@@ -11,6 +11,7 @@ from .common import table
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
 from .html_text import extract_text
+from .license_scan import COPYRIGHT_LINE, GAPS, KNOWN, MARKS, SPELLINGS, scan_licenses
 from .lm import score_texts
 from .mixing import mix
 from .near_dedup import near_duplicates
@@ -63,6 +64,17 @@ def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences in every document."""
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("bigint").alias("n_licenses"),
+        F.concat_ws(",", "licenses").alias("licenses"),
+        F.col("whole").alias("whole_text"),
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in each document."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -99,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_html_text,
         op4_mixing,
         op5_lm_scores,
+        op6_license_scan,
         op7_decontamination,
         op8_near_dedup,
         op9_exact_dedup,
@@ -182,3 +195,38 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY t)
 """,
 }
+
+
+def _license_sql() -> str:
+    """The licence scan in SQL, from the same fixed values."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    lines = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    lines = f"regexp_replace({lines}, {quoted(COPYRIGHT_LINE)}, '', 'g')"
+    for other, one in SPELLINGS:
+        lines = f"replace({lines}, {quoted(other)}, {quoted(one)})"
+    lines = f"regexp_replace({lines}, {quoted(MARKS)}, ' ', 'g')"
+    known = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in KNOWN)
+    return rf"""
+WITH k AS (
+  SELECT DISTINCT name, trim(regexp_replace({lines}, '[ \n]+', ' ', 'g')) AS unit FROM (VALUES {known}) AS v(name, text)
+), d AS (
+  SELECT row_number() OVER () AS id, doc_id, {lines} AS lines FROM documents
+), u AS (
+  SELECT id, true AS whole, trim(regexp_replace(lines, '[ \n]+', ' ', 'g')) AS unit FROM d
+  UNION ALL
+  SELECT id, false, trim(regexp_replace(unnest(regexp_split_to_array(lines, '{GAPS}')), '[ \n]+', ' ', 'g')) FROM d
+  UNION ALL
+  SELECT id, false, trim(unnest(regexp_split_to_array(lines, '\n'))) FROM d
+), h AS (
+  SELECT id, count(DISTINCT name) AS n, string_agg(DISTINCT name, ',' ORDER BY name) AS names, bool_or(whole) AS whole
+  FROM u JOIN k USING (unit) WHERE unit <> '' GROUP BY id
+)
+SELECT doc_id, coalesce(n, 0) AS n_licenses, coalesce(names, '') AS licenses, coalesce(whole, false) AS whole_text
+FROM d LEFT JOIN h USING (id)
+"""
+
+
+ORACLES["op6_license_scan"] = _license_sql()
