@@ -12,6 +12,7 @@ from rivermark.llm.components import connected_components
 from rivermark.llm.decontaminate import contamination, decontaminate
 from rivermark.llm.exact_dedup import exact_duplicates, without_exact_duplicates
 from rivermark.llm.html_text import extract_text, main_text
+from rivermark.llm.license_scan import scan_licenses
 from rivermark.llm.lm import score_texts
 from rivermark.llm.mixing import mix, source_targets
 from rivermark.llm.near_dedup import near_duplicates, without_near_duplicates
@@ -296,3 +297,24 @@ def test_components(spark):
     got = {r.node: r.label for r in connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {k: 0 for k in range(1, 31)} | {100 + k: 100 for k in range(1, 40)} | {201: 200}
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_licenses(spark, docs, none):
+    texts = [
+        "LICENSED under the apache licence,\n version 2.0", "prose\n  Released under the MIT   Licence!  \nmore",
+        "Copyright (c) 2020 Somebody\n\nReleased under the MIT License.", "mentions the MIT License. Released under", None, "",
+        "Licensed under CC BY-NC 4.0\nThis work is licensed under the GNU General Public License, version 3.",
+        f"{'word ' * 50000}\n\nLicensed under the Apache License,\nVersion 2.0.\n\nend",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)) + [(1, texts[1])], "doc_id bigint, text string").withColumn("unit", F.lit(1))
+    for size in (1 << 26, -1):
+        got = sorted((r.doc_id, tuple(r.licenses), r.whole) for r in scan_licenses(frame, broadcast_bytes=size).collect())
+        assert got == [
+            (0, ("Apache-2.0",), True), (1, ("MIT",), False), (1, ("MIT",), False), (2, ("MIT",), True), (3, (), False),
+            (4, (), False), (5, (), False), (6, ("CC-BY-NC-4.0", "GPL-3.0"), False), (7, ("Apache-2.0",), False),
+        ]
+    assert scan_licenses(docs).count() == 10 and scan_licenses(none).count() == 0
+    nothing = spark.createDataFrame([], "license string, text string")
+    assert [r.licenses for r in scan_licenses(docs, known=nothing).collect()] == [[]] * 10
+    both = spark.createDataFrame([("A", "short"), ("B", "Short."), ("C", "(c) x")], "license string, text string")
+    assert {r.doc_id: r.licenses for r in scan_licenses(docs, known=both).collect()}[6] == ["A", "B"]
