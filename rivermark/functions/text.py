@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BLANKS = " \t\n\r\f\u000b"
+# What counts as white space at the ends of a value: Unicode's, not ASCII's alone.
+_BLANKS = (
+    " \t\n\r\f\u000b\u001c\u001d\u001e\u001f\u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # The metadata fields that may be published.
 SAFE_METADATA_FIELDS = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import dedup, state
@@ -26,6 +27,11 @@ def snapshot_path(root: str, version: int) -> str:
     return f"{root}/version={version:012d}"
 
 
+def rejections_path(root: str, version: int) -> str:
+    """Where the events are that a version's micro-batch did not apply, with the reason."""
+    return f"{root}/rejections/version={version:012d}"
+
+
 def read_snapshot(spark: SparkSession, root: str, entity: str, before: int) -> DataFrame | None:
     """The newest complete snapshot of an earlier version."""
     hadoop = spark._jvm.org.apache.hadoop.fs
@@ -47,7 +53,8 @@ def fold_batch(
     """Fold projected events into the snapshot before ``version`` and write the next.
 
     The version is the micro-batch number, so running a batch again reads the same
-    base and overwrites the same folder.
+    base and overwrites the same folders. Events that are refused or repeated are
+    written beside it.
     """
     spark = events.sparkSession
     base = read_snapshot(spark, root, entity, version)
@@ -55,6 +62,14 @@ def fold_batch(
     fresh = marked.where(marked.duplicate_code.isNull()).drop("duplicate_code")
     decided = state.decide_events(fresh, base, key=BUSINESS_KEYS[entity])
     merged = state.merge_state(decided.where("decision = 'APPLY'"), base, entity)
+    address = ["event_id", "business_key", *dedup.COORDINATE]
+    refused = decided.where("decision = 'REJECT'").select(
+        *address, decided.decision_code.alias("error_code"), decided.decision_message.alias("error_message")
+    )
+    repeated = marked.where(marked.duplicate_code.isNotNull()).select(
+        *address, marked.duplicate_code.alias("error_code"), F.lit(None).cast("string").alias("error_message")
+    )
+    refused.unionByName(repeated).write.mode("overwrite").parquet(rejections_path(root, version))
     path = snapshot_path(root, version)
     merged.write.mode("overwrite").parquet(path)
     return spark.read.schema(entity_schema(entity)).parquet(path)

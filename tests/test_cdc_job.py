@@ -259,6 +259,26 @@ def test_state_stream_equals_batch_and_survives_replay(spark, tmp_path):
     assert fingerprint(rows.select("customer_id", "kafka_offset")).first() == before
 
 
+def test_state_stream_keeps_what_it_refuses(spark, tmp_path):
+    for records in (
+        [record("customers", 5, full_name="A")],
+        [record("customers", 3, full_name="Late"), record("customers", 9, partition=1, full_name="Moved")],
+    ):
+        feed(spark, tmp_path / "kafka", records)
+        start_state_stream(
+            file_stream(spark, str(tmp_path / "kafka"), max_files=1),
+            root=str(tmp_path / "state"),
+            entity="customers",
+            checkpoint=str(tmp_path / "checkpoint"),
+            prepare=project,
+        ).awaitTermination()
+    refused = spark.read.parquet(str(tmp_path / "state" / "rejections")).collect()
+    assert sorted((r["kafka_partition"], r["kafka_offset"], r["error_code"]) for r in refused) == [
+        (0, 3, "OUT_OF_ORDER_EVENT"),
+        (1, 9, "OUT_OF_ORDER_EVENT"),
+    ]
+
+
 def test_publishing_twice(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
     where = dict(root=str(tmp_path), output_type="current", entity="x", run_id="r", schema=rows.schema)

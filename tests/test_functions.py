@@ -107,3 +107,8 @@ def test_names_and_metadata(spark):
     )
     got = df.select(fn.safe_metadata(F.col("m"))).first()[0]
     assert got == {"partner_id": "A B", "record_count": "1" * 1024}
+
+
+def test_clean_strips_unicode_white_space(spark):
+    row = spark.createDataFrame([("\u00a0\u2003 x\u00a0y \u3000", "\u00a0")], "a string, b string")
+    assert tuple(row.select(fn.clean(F.col("a")), fn.clean(F.col("b"))).first()) == ("x\u00a0y", "")
