@@ -48,3 +48,8 @@ def uuid5(namespace: UUID, name: Column) -> Column:
         F.lit("-"),
         F.substring(digest, 21, 12),
     )
+
+
+def file_id(source: Column, partner: Column, checksum: Column) -> Column:
+    """Name-based id of one content of a source's partner."""
+    return uuid5(FILE_NAMESPACE, F.concat_ws(":", source, partner, checksum))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import functions as fn
-from ..functions.ids import FILE_NAMESPACE
+from ..functions.ids import file_id
 from ..operators import inventory, ledger, quality, settlement
 from ..operators.contract import load_contract
 from . import derived
 from .catalog_events import RUN_AT
 from .derived import with_ctes
 from .registry import query
+from .settlements import SOURCE
 
 CONTRACT = load_contract()
 
@@ -344,22 +344,18 @@ def file_latest_checksum(spark, sf_dir):
 
 @query(
     "file_identities",
-    with_ctes(
-        "d_settle",
-        body="""SELECT file_name, concat(substr(h, 1, 8), '-', substr(h, 9, 4), '-5', substr(h, 14, 3), '-',
+    with_ctes("d_settle", body="").rstrip()
+    + ",\n"
+    + _FILES.rstrip()
+    + """,
+ids AS (SELECT file_name, sha1(unhex('22a08d63cffc4d368a83a7b0d31c9f16')
+    || encode(concat('banking_partner_settlement:', partner_id, ':', checksum_sha256))) AS h FROM files)
+SELECT file_name, concat(substr(h, 1, 8), '-', substr(h, 9, 4), '-5', substr(h, 14, 3), '-',
   substr('89ab89ab89ab89ab', position(substr(h, 17, 1) IN '0123456789abcdef'), 1), substr(h, 18, 3), '-', substr(h, 21, 12)) AS file_id
-FROM (SELECT file_name, sha1(unhex('22a08d63cffc4d368a83a7b0d31c9f16') || encode(concat('banking_partner_settlement:', partner, ':', file_name))) AS h
-  FROM (SELECT DISTINCT source_file_name AS file_name, file_partner_id AS partner FROM d_settle))""",
-    ),
+FROM ids""",
 )
 def file_identities(spark, sf_dir):
-    """Name-based file ids."""
-    files = (
-        derived.settle(spark, sf_dir)
-        .select(F.col("source_file_name").alias("file_name"), "file_partner_id")
-        .distinct()
-    )
-    name = F.concat_ws(
-        ":", F.lit("banking_partner_settlement"), "file_partner_id", "file_name"
+    """Ids of the files by source, partner and content."""
+    return _files(spark, sf_dir).select(
+        "file_name", file_id(F.lit(SOURCE), F.col("partner_id"), F.col("checksum_sha256")).alias("file_id")
     )
-    return files.select("file_name", fn.uuid5(FILE_NAMESPACE, name).alias("file_id"))

@@ -10,6 +10,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ids import file_id
 from ..operators import ledger, quality, settlement
 from ..operators.contract import Contract, load_contract
 from ..operators.normalize import SILVER_VERSION
@@ -19,6 +20,8 @@ from ..sinks import Published, append_runs, publish, read_runs
 from ..sources import settlement_files as source
 
 PIPELINE = "settlement-to-silver"
+# Fixed value: name of the source in file identities.
+SOURCE = "banking_partner_settlement"
 CODE_VERSION = "1"
 
 
@@ -93,18 +96,24 @@ def run_settlements(
     run_id, at = run_id or str(uuid.uuid4()), at or datetime.now(UTC)
     runs = read_runs(spark, ledger_path)
     work = shared_dir(spark, "settlements")
-    rows, files = source.read_settlements(
-        spark, inbound, contract, expected_partner=partner, work=work
-    )
-    classify_files(files, runs).select(
+    found = source.identify_files(spark, inbound, contract, expected_partner=partner)
+    classify_files(found, runs).select(
         "*",
+        file_id(F.lit(SOURCE), F.col("partner_id"), F.col("checksum_sha256")).alias("file_id"),
         F.lit(PIPELINE).alias("pipeline_name"),
         F.col("checksum_sha256").alias("input_checksum"),
         F.lit(code_version).alias("code_version"),
         F.lit(contract.schema_version).alias("schema_version"),
-    ).write.parquet(f"{work}/files")
-    found = spark.read.parquet(f"{work}/files")
-    pending, copies = first_of_content(ledger.unprocessed(found, runs, force=force))
+    ).write.parquet(f"{work}/found")
+    found = spark.read.parquet(f"{work}/found")
+    # Only what the ledger doesn't know is parsed, landed and judged.
+    ledger.unprocessed(found, runs, force=force).write.parquet(f"{work}/pending")
+    pending = spark.read.parquet(f"{work}/pending")
+    if pending.isEmpty():
+        return SettlementResult(run_id, "SKIPPED")
+    rows, files = source.read_settlements(spark, inbound, contract, work=work, files=pending)
+    files.write.parquet(f"{work}/files")
+    pending, copies = first_of_content(spark.read.parquet(f"{work}/files"))
     result = SettlementResult(run_id, "SKIPPED", duplicate_files=copies.count())
 
     judged = settlement.validate_rows(
@@ -185,7 +194,7 @@ def run_settlements(
     )
     first = objects.drop("status")
     append_runs(spark, ledger_path, first, statuses=("DISCOVERED", "READING"), at=at, **base)
-    land_raw(spark, inbound, outcome, raw, run_id)
+    land_raw(spark, inbound, outcome, raw)
     settlement.rejected_rows(judged, contract).write.mode("overwrite").json(
         f"{raw}/rejected/run_id={run_id}"
     )
@@ -228,13 +237,16 @@ def run_settlements(
     return result
 
 
-def land_raw(
-    spark: SparkSession, inbound: str, outcome: DataFrame, raw: str, run_id: str
-) -> None:
-    """Keep the bytes of every file, good ones and quarantined ones apart."""
+def land_raw(spark: SparkSession, inbound: str, outcome: DataFrame, raw: str) -> None:
+    """Keep the bytes of every file, good ones and quarantined ones apart.
+
+    Folders are named after the content, so landing it again changes nothing.
+    """
     named = outcome.select(
         "path",
         "length",
+        "has_bom",
+        "file_id",
         "checksum_sha256",
         "file_name",
         F.when(F.col("status") == "PROCESSED", "bronze").otherwise("quarantine").alias("area"),
@@ -243,11 +255,6 @@ def land_raw(
             "settlement_date"
         ),
     )
-    folders = ("area", "partner_id", "settlement_date")
-    source.raw_files(spark, inbound, named).write.mode("overwrite").partitionBy(*folders).parquet(
-        f"{raw}/files/run_id={run_id}"
-    )
-    if not named.where(F.col("length") > source.WHOLE_FILE_BYTES).isEmpty():
-        source.raw_lines(spark, inbound, named).write.mode("overwrite").partitionBy(
-            *folders
-        ).parquet(f"{raw}/lines/run_id={run_id}")
+    source.raw_blocks(spark, inbound, named).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("area", "partner_id", "settlement_date", "checksum_sha256").parquet(f"{raw}/files")

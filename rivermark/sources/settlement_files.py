@@ -7,6 +7,7 @@ put together again only in files that have them.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,13 +16,14 @@ from pyspark.sql import functions as F
 from ..operators import inventory, scan
 from ..operators.contract import Contract
 
-# Files up to this size are hashed as a whole, larger ones by their lines.
-WHOLE_FILE_BYTES = 128 << 20
+# Lines that are hashed together, and bytes that are landed together.
+_LINES_PER_HASH = 4096
+_BLOCK_BYTES = 1 << 20
 
-# Fixed value: a field longer than this is an error, and so is a record that could
-# only hold such a field.
+# Fixed value: a field with more characters than this makes the file unreadable.
 FIELD_LIMIT = 131_072
 
+_BOM = "\ufeff"
 _MISSING = "\u0002"
 
 
@@ -38,49 +40,65 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file, block and place; the carriage return is cut off."""
-    rows = (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_place"),
-            F.regexp_replace("value", "\r$", "").alias("line"),
-            (~F.is_valid_utf8("value")).alias("_garbled"),
-        )
+def read_lines(spark: SparkSession, path: str, *, only: Sequence[str] | None = None) -> DataFrame:
+    """Lines with their file, block and place; the carriage return is cut off.
+
+    ``_raw`` is the line as it stands, ``_size`` the file's length. With ``only``, the
+    files of these paths; others are left out when Spark lists the folder.
+    """
+    text = spark.read.option("lineSep", "\n").text(path)
+    spelled = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+    spelled = F.regexp_replace(spelled, "^file:/+", "file:///")
+    if only is not None:
+        text = text.where(spelled.isin(list(only)))
+    return text.select(
+        spelled.alias("path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_place"),
+        F.regexp_replace("value", "\r$", "").alias("line"),
+        (~F.is_valid_utf8("value")).alias("_garbled"),
+        F.col("value").alias("_raw"),
+        F.col("_metadata.file_size").alias("_size"),
     )
-    return _plain(rows.withColumn("path", F.url_decode(F.regexp_replace("path", r"\+", "%2B"))))
 
 
-def content_ids(spark: SparkSession, path: str, *, whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """SHA-256 of each file's bytes; for very large files a hash over their lines.
+def content_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Content identity of each file with a line, and whether it has a byte order mark.
 
-    The line hash sums numbered line hashes, so no task reads such a file alone. Its
-    prefix keeps it apart from byte hashes.
+    The same function of the bytes for every size: lines are hashed where they are read,
+    4,096 line hashes make one hash, and the file's length with these in order is hashed
+    once more. It isn't the plain SHA-256 of the file. The reader leaves out line ends
+    and a byte order mark; the length tells which of these a file has.
     """
-    files = spark.read.format("binaryFile").load(path)
-    small = files.where(F.col("length") <= whole_bytes).select(
-        "path", F.sha2("content", 256).alias("checksum_sha256")
-    )
-    large = files.where(F.col("length") > whole_bytes).select("path")
-    if large.isEmpty():
-        return _plain(small)
-    lines = read_lines(spark, path).join(_plain(large), "path", "left_semi")
+    narrow = read_lines(spark, path).select(
+        "path",
+        "_block",
+        "_place",
+        "_size",
+        F.octet_length("_raw").alias("_bytes"),
+        F.unhex(F.sha2(F.col("_raw").cast("binary"), 256)).alias("_hash"),
+    )
     numbered = scan.row_number(
-        lines, groups=["path"], levels=["_block"], order=["_place"], name="_number"
+        narrow, groups=["path"], levels=["_block"], order=["_place"], name="_number"
+    )
+
+    def in_order(at: str, value: Column) -> Column:
+        pairs = F.sort_array(F.collect_list(F.struct(F.col(at), value.alias("h"))))
+        return F.array_join(F.transform(pairs, lambda x: x["h"]), "")
+
+    parts = numbered.groupBy("path", scan.piece(F.col("_number") - 1, _LINES_PER_HASH).alias("_part")).agg(
+        F.sha2(in_order("_number", F.hex("_hash")), 256).alias("_hash"),
+        F.sum(F.col("_bytes") + 1).alias("_bytes"),
+        F.max("_size").alias("_size"),
     )
-    part = F.conv(
-        F.substring(F.sha2(F.concat_ws(":", "_number", "line"), 256), 1, 15), 16, 10
-    ).cast("decimal(38,0)")
-    hashed = numbered.groupBy("path").agg(
-        F.concat(
-            F.lit("lines:"),
-            F.sha2(F.concat_ws(":", F.count(F.lit(1)), F.sum(part).cast("string")), 256),
-        ).alias("checksum_sha256")
+    return parts.groupBy("path").agg(
+        _content_id(F.max("_size"), in_order("_part", F.col("_hash"))).alias("checksum_sha256"),
+        (F.max("_size") - F.sum("_bytes") >= 2).alias("has_bom"),
     )
-    return _plain(small).unionByName(hashed)
+
+
+def _content_id(length: Column, hashes: Column) -> Column:
+    return F.sha2(F.concat_ws(":", length, hashes), 256)
 
 
 def _plain(files: DataFrame) -> DataFrame:
@@ -90,7 +108,7 @@ def _plain(files: DataFrame) -> DataFrame:
 
 def _field_pattern(delimiter: str) -> str:
     sep = re.escape(delimiter)
-    return rf'(?:"(?:[^"]|"")*+"|[^"{sep}][^{sep}]*+|)'
+    return rf'(?:"(?:[^"]|""){{0,{FIELD_LIMIT}}}+"|[^"{sep}][^{sep}]{{0,{FIELD_LIMIT - 1}}}+|)'
 
 
 def _line_facts(lines: DataFrame, contract: Contract) -> DataFrame:
@@ -128,7 +146,9 @@ def _records(lines: DataFrame, facts: DataFrame, contract: Contract) -> DataFram
         **place,
     )
     torn = torn.withColumn("_line", F.struct("_block", "_place", "line"))
-    limit = FIELD_LIMIT * len(contract.fields)
+    # No record of the contract's fields, each within the limit and its quotes doubled,
+    # is longer; one that is has a field above it, or surplus fields, and is refused.
+    limit = (2 * FIELD_LIMIT + 4) * len(contract.fields)
     sizes = torn.groupBy("path", "_record").agg(
         F.min("_block").alias("_first_block"),
         F.min(F.struct("_block", "_place")).alias("_at"),
@@ -157,6 +177,29 @@ def _records(lines: DataFrame, facts: DataFrame, contract: Contract) -> DataFram
     return scan.row_number(together.where("line <> ''"), name="number", **place)
 
 
+def identify_files(
+    spark: SparkSession,
+    path: str,
+    contract: Contract,
+    *,
+    expected_partner: str | Column | None = None,
+) -> DataFrame:
+    """One row per file of a folder: the parts of its name and its content's identity.
+
+    ``error_code`` says what is wrong with the name.
+    """
+    names = inventory.parse_file_names(
+        list_files(spark, path), contract, expected_partner=expected_partner
+    )
+    unread = _content_id(F.col("length"), F.lit(""))
+    return names.join(content_ids(spark, path), "path", "left").withColumns(
+        {
+            "checksum_sha256": F.coalesce("checksum_sha256", unread),
+            "has_bom": F.coalesce("has_bom", F.lit(False)),
+        }
+    )
+
+
 def read_settlements(
     spark: SparkSession,
     path: str,
@@ -164,15 +207,23 @@ def read_settlements(
     *,
     expected_partner: str | Column | None = None,
     work: str | None = None,
+    files: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """All settlement files of a folder: raw rows of the good files, and one row per file.
+    """Settlement files of a folder: raw rows of the good files, and one row per file.
 
-    File rows carry ``error_code`` (NULL when rows can be judged), the parts of the
-    file name and the content hash. Raw rows carry the contract's columns as text;
-    NULL means the record was too short for the column. With ``work``, a folder the
-    cluster shares, the file facts and the records are written there and read once.
+    ``files`` are those of ``identify_files`` to read, all by default; only their paths
+    come to the driver, as they do whenever Spark lists a folder. File rows carry
+    ``error_code`` (NULL when rows can be judged), the parts of the file name and the
+    content's identity. Raw rows carry the contract's columns as text; NULL means the
+    record was too short for the column. With ``work``, a folder the cluster shares, the
+    file facts and the records are written there and read once.
     """
-    lines = read_lines(spark, path)
+    only = None
+    if files is None:
+        names = identify_files(spark, path, contract, expected_partner=expected_partner)
+    else:
+        names, only = files, [r["path"] for r in files.select("path").collect()]
+    lines = read_lines(spark, path, only=only).drop("_raw", "_size")
     facts = _line_facts(lines, contract)
     if work:
         facts.write.parquet(f"{work}/line-facts")
@@ -192,14 +243,11 @@ def read_settlements(
         F.count_if(F.col("number") > 1).alias("record_count"),
     )
     header = F.regexp_replace("_header", '"', "")
-    names = inventory.parse_file_names(
-        list_files(spark, path), contract, expected_partner=expected_partner
-    )
     code = (
         F.when(F.col("error_code").isNotNull(), F.col("error_code"))
         .when(F.col("_header").isNull(), "EMPTY_FILE")
         .when(F.col("_garbled_header"), "INVALID_ENCODING")
-        .when(header != contract.delimiter.join(contract.names), "INVALID_FILE_SCHEMA")
+        .when(F.col("has_bom") | (header != contract.delimiter.join(contract.names)), "INVALID_FILE_SCHEMA")
         .when(F.col("_garbled_lines") > 0, "INVALID_ENCODING")
         .when(F.col("_bad_lines") > 0, "INVALID_CSV")
         .when(F.coalesce("record_count", F.lit(0)) == 0, "EMPTY_FILE")
@@ -207,8 +255,6 @@ def read_settlements(
     files = (
         names.join(facts, "path", "left")
         .join(counts, "path", "left")
-        .join(content_ids(spark, path), "path", "left")
-        .withColumn("checksum_sha256", F.coalesce("checksum_sha256", F.sha2(F.lit(""), 256)))
         .withColumn("error_code", code)
         .drop("_header", "_garbled_header", "_garbled_lines", "_torn", "_bad_lines")
     )
@@ -234,19 +280,38 @@ def read_settlements(
     return rows, files
 
 
-def raw_files(spark: SparkSession, path: str, files: DataFrame) -> DataFrame:
-    """Bytes of the files that fit one row, unchanged, with their identity."""
-    small = files.where(F.col("length") <= WHOLE_FILE_BYTES)
-    content = spark.read.format("binaryFile").load(path).where(
-        F.col("length") <= WHOLE_FILE_BYTES
-    )
-    return _plain(content.select("path", "content")).join(small, "path")
-
+def raw_blocks(spark: SparkSession, path: str, files: DataFrame) -> DataFrame:
+    """Bytes of the given files, unchanged, in numbered blocks of about a megabyte.
 
-def raw_lines(spark: SparkSession, path: str, files: DataFrame) -> DataFrame:
-    """Numbered lines of the larger files, with their identity."""
-    large = files.where(F.col("length") > WHOLE_FILE_BYTES)
-    lines = read_lines(spark, path).join(large, "path")
-    return scan.row_number(
-        lines, groups=["path"], levels=["_block"], order=["_place"], name="line_number"
-    ).drop("_block", "_place")
+    ``content`` of a file's blocks in the order of ``block`` is the file. A block begins
+    with the line that begins in it, so none is larger than that and a line.
+    """
+    only = [r["path"] for r in files.select("path").collect()]
+    lines = read_lines(spark, path, only=only).select("path", "_block", "_place", "_raw")
+    placed = scan.running_total(
+        lines,
+        groups=["path"],
+        levels=["_block"],
+        order=["_place"],
+        value=F.octet_length("_raw").cast("bigint") + 1,
+        name="_upto",
+    )
+    start = F.col("_upto") - F.octet_length("_raw") - 1
+    joined = placed.groupBy("path", scan.piece(start, _BLOCK_BYTES).alias("block")).agg(
+        F.array_join(
+            F.transform(F.sort_array(F.collect_list(F.struct("_upto", "_raw"))), lambda x: x["_raw"]), "\n"
+        ).alias("_text"),
+        F.max("_upto").alias("_upto"),
+    )
+    text_bytes = F.col("length") - F.when(F.col("has_bom"), 3).otherwise(0)
+    mark = F.lit(_BOM)
+    content = F.concat(
+        F.when(F.col("has_bom") & (F.col("block") == 0), mark).otherwise(""),
+        "_text",
+        F.when(F.col("_upto") <= text_bytes, "\n").otherwise(""),
+    )
+    # A file without lines is empty, or nothing but a byte order mark.
+    content = F.coalesce(content, F.when(F.col("length") == 3, mark), F.lit(""))
+    return files.join(joined, "path", "left").select(
+        *files.columns, F.coalesce("block", F.lit(0)).alias("block"), content.cast("binary").alias("content")
+    )

@@ -152,19 +152,84 @@ def test_file_errors(spark, tmp_path):
     assert rows.select("source_file_name").distinct().count() == 1
 
 
+def in_blocks(spark, size):
+    """Settings that cut files into splits of so many bytes."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+
 def test_content_ids(spark, tmp_path):
+    """One function of the bytes, whatever the splits are; line ends and marks count."""
     import hashlib
 
-    write(tmp_path / "in", "a\nb\n", name="a.csv")
-    write(tmp_path / "in", "b\na\n", name="b.csv")
-    write(tmp_path / "in", "a\nb\n", name="c.csv")
-    whole = [r[1] for r in source.content_ids(spark, str(tmp_path / "in")).orderBy("path").collect()]
-    assert whole[0] == whole[2] == hashlib.sha256(b"a\nb\n").hexdigest()
-    lines = [
-        r[1]
-        for r in source.content_ids(spark, str(tmp_path / "in"), whole_bytes=1).orderBy("path").collect()
-    ]
-    assert lines[0] == lines[2] != lines[1] and lines[0].startswith("lines:")
+    many = "".join(f"line {n}\r\n" for n in range(10_000)).encode()
+    texts = [b"a\nb\n", b"b\na\n", b"a\nb", b"a\r\nb\r\n", b"\xef\xbb\xbfa\nb\n", b"a\n\xff\n", b"\n", many]
+    for n, text in enumerate(texts):
+        write(tmp_path / "in", text, name=f"{n}.csv")
+    write(tmp_path / "in", texts[0], name="8.csv")
+
+    def by_hand(text):
+        bare = text.removeprefix(b"\xef\xbb\xbf")
+        lines = (bare[:-1] if bare.endswith(b"\n") else bare).split(b"\n")
+        hashes = [hashlib.sha256(x).hexdigest().upper() for x in lines]
+        parts = [hashlib.sha256("".join(hashes[k : k + 4096]).encode()).hexdigest() for k in range(0, len(hashes), 4096)]
+        return hashlib.sha256(f"{len(text)}:{''.join(parts)}".encode()).hexdigest()
+
+    def ids():
+        return {r["path"][-5]: (r["checksum_sha256"], r["has_bom"]) for r in source.content_ids(spark, str(tmp_path / "in")).collect()}
+
+    got = ids()
+    assert got == {str(n): (by_hand(t), n == 4) for n, t in enumerate([*texts, texts[0]])}
+    assert len(set(got.values())) == len(texts)
+    in_blocks(spark, 9000)
+    try:
+        assert ids() == got
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_raw_blocks_are_the_bytes(spark, tmp_path):
+    long = "".join(f"{n},{'x' * 90}\r\n" for n in range(30_000)).encode()
+    texts = {"a.csv": long, "b.csv": b"", "c.csv": b"\xef\xbb\xbf", "d.csv": b"\xef\xbb\xbfa\n\nb", "e.csv": b"\n\xff\n", "f +%.csv": b"x"}
+    for name, text in texts.items():
+        write(tmp_path / "in", text, name=name)
+    files = source.identify_files(spark, str(tmp_path / "in"), CONTRACT)
+    rows = source.raw_blocks(spark, str(tmp_path / "in"), files).orderBy("file_name", "block").collect()
+    got = {}
+    for r in rows:
+        got[r["file_name"]] = got.get(r["file_name"], b"") + r["content"]
+    assert got == texts
+    assert sum(r["file_name"] == "a.csv" for r in rows) == 3
+
+
+def test_marks_and_long_fields(spark, tmp_path):
+    """A byte order mark is no header; a field above the limit refuses the file, torn or not."""
+    limit = source.FIELD_LIMIT
+    head = "settlement_VCB_2026-07-22_0"
+    texts = {
+        "01": "\ufeff" + HEADER + "\n" + row(1) + "\n",
+        "02": HEADER + "\n" + row(settlement_reference="x" * limit) + "\n",
+        "03": HEADER + "\n" + row(settlement_reference="x" * (limit + 1)) + "\n",
+        "04": HEADER + "\n" + row(settlement_reference='"' + "x" * (limit - 2) + '\n""' + '"') + "\n",
+        "05": HEADER + "\n" + row(settlement_reference='"' + "x" * (limit - 1) + '\n""' + '"') + "\n",
+    }
+    for number, text in texts.items():
+        write(tmp_path / "in", text, name=f"{head}{number}.csv")
+    _, files = source.read_settlements(spark, str(tmp_path / "in"), CONTRACT)
+    got = {r["file_name"][len(head) :][:2]: r["error_code"] for r in files.collect()}
+    assert got == {"01": "INVALID_FILE_SCHEMA", "02": None, "03": "INVALID_CSV", "04": None, "05": "INVALID_CSV"}
+
+
+def test_only_pending_files_are_read(spark, tmp_path):
+    for n in (1, 2):
+        write(tmp_path / "in", [row(n)], name=f"settlement_VCB_2026-07-22_00{n}.csv")
+    every = source.identify_files(spark, str(tmp_path / "in"), CONTRACT)
+    one = every.where("sequence = 2")
+    paths = [r["path"] for r in one.select("path").collect()]
+    assert source.read_lines(spark, str(tmp_path / "in"), only=paths).count() == 2
+    rows, files = source.read_settlements(spark, str(tmp_path / "in"), CONTRACT, files=one)
+    assert [r["settlement_reference"] for r in rows.collect()] == ["S-2"] and files.count() == 1
 
 
 def run(spark, tmp_path, **options):
@@ -193,7 +258,7 @@ def test_job(spark, tmp_path):
     assert {r["source_row_number"] for r in accepted.collect()} == {2}
     rejected = spark.read.parquet(first.outputs[1].path)
     assert rejected.where("raw_reference = 'row:3'").first()["business_key"] == "S-2"
-    raw = spark.read.parquet(str(tmp_path / "raw/files/run_id=one"))
+    raw = spark.read.parquet(str(tmp_path / "raw/files"))
     name = "settlement_VCB_2026-07-22_005.csv"
     assert raw.where(F.col("file_name") == name).first()["content"] == FILES[name][0]
     evidence = spark.read.json(str(tmp_path / "raw/rejected/run_id=one")).first()
