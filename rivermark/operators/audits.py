@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -156,26 +157,58 @@ def violations(
     return rows.select(*keep, F.explode(broken).alias("constraint_name"))
 
 
+def constraint_audit(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> DataFrame:
+    """Broken constraints of several source tables, with the row's key as text."""
+    found = [
+        violations(rows.withColumn("row_key", F.col(keys[name]).cast("string")), constraints(name), keep=["row_key"])
+        .select(F.lit(name).alias("table_name"), "row_key", "constraint_name")
+        for name, rows in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def repeated_keys(rows: DataFrame, *, key: Sequence[str], name: str) -> DataFrame:
-    """Key values that occur more than once; NULL keys are never compared."""
-    filled = rows.dropna(subset=list(key))
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in key])
-    counted = filled.groupBy(*key).agg(F.count(F.lit(1)).alias("row_count"))
+    """Values of a key, SQL expressions, that occur more than once; NULLs never do."""
+    parts = [f"_key{n}" for n in range(len(key))]
+    filled = rows.select(*[F.expr(k).cast("string").alias(p) for k, p in zip(key, parts)]).dropna()
+    counted = filled.groupBy(*parts).agg(F.count(F.lit(1)).alias("row_count"))
     return counted.where("row_count > 1").select(
-        F.lit(name).alias("constraint_name"), text.alias("key_value"), "row_count"
+        F.lit(name).alias("constraint_name"), F.concat_ws("|", *parts).alias("key_value"), "row_count"
     )
 
 
-# Unique keys of the source tables.
+# Unique keys of the source tables, by constraint.
 UNIQUE_KEYS = {
-    "customers": (("external_customer_ref",), ("email",)),
-    "accounts": (("account_number",),),
-    "merchants": (("merchant_code",), ("external_reference",)),
-    "payment_transactions": (("partner_reference",), ("idempotency_key",)),
-    "transaction_events": (("transaction_id", "event_version"),),
-    "refunds": (("partner_reference",),),
+    "customers": {
+        "customers_external_customer_ref_key": ("external_customer_ref",),
+        "ux_customers_email_case_insensitive": ("lower(email)",),
+    },
+    "accounts": {"accounts_account_number_key": ("account_number",)},
+    "merchants": {
+        "merchants_merchant_code_key": ("merchant_code",),
+        "merchants_external_reference_key": ("external_reference",),
+    },
+    "payment_transactions": {
+        "payment_transactions_partner_reference_key": ("partner_reference",),
+        "payment_transactions_idempotency_key_key": ("idempotency_key",),
+    },
+    "transaction_events": {
+        "transaction_events_transaction_version_unique": ("transaction_id", "event_version"),
+    },
+    "refunds": {"refunds_partner_reference_key": ("partner_reference",)},
 }
 
+
+def unique_key_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Repeated values of every unique key of the given source tables."""
+    found = [
+        repeated_keys(rows, key=key, name=constraint)
+        for name, rows in tables.items()
+        for constraint, key in UNIQUE_KEYS[name].items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 # Fixed values: (table, field, referenced table, referenced field).
 FOREIGN_KEYS = (
     ("accounts", "customer_id", "customers", "customer_id"),
@@ -207,6 +240,20 @@ def orphan_keys(child: DataFrame, field: str, parent: DataFrame, key: str) -> Da
     return counted.join(parent.select(F.col(key).alias("reference_key")), "reference_key", "left_anti")
 
 
+def foreign_key_audit(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Orphans of every reference between the given source tables."""
+    found = [
+        orphan_keys(tables[child], field, tables[parent], key).select(
+            F.lit(f"{child}.{field}").alias("relation"),
+            F.col("reference_key").cast("string").alias("reference_key"),
+            "row_count",
+        )
+        for child, field, parent, key in FOREIGN_KEYS
+        if child in tables and parent in tables
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def refunded_totals(refunds: DataFrame) -> DataFrame:
     """Pending and completed refunds summed per payment."""
     counted = F.col("status").isin(*COUNTED_REFUNDS)

@@ -91,6 +91,21 @@ def unprocessed(
     return inputs.join(runs.select(*identity).distinct(), [*identity], "left_anti")
 
 
+def completed_outputs(runs: DataFrame) -> DataFrame:
+    """Outputs of the completed runs, one row each.
+
+    ``runs`` carry the last status of each input and what its run wrote; inputs of one
+    run name the same outputs.
+    """
+    outputs = "array<struct<output_type:string,entity_name:string,path:string,record_count:bigint,content_hash:string>>"
+    return (
+        runs.where("status = 'COMPLETED'")
+        .select("run_id", F.explode(F.from_json("outputs_json", outputs)).alias("_output"))
+        .select("run_id", "_output.*")
+        .distinct()
+    )
+
+
 def unprocessed_counts(inputs: DataFrame, pending: DataFrame) -> DataFrame:
     """How many inputs there are and how many are still to be processed."""
     names = ("discovered_objects", "unprocessed_objects")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import REJECTION
+from .dedup import latest_per_key
 
 # Classes of a gate, mildest first, and the run status they lead to.
 CLASSES = ("PASS", "WARN", "FAIL")
@@ -84,6 +85,11 @@ def gate_rows(
     )
 
 
+def latest_gates(results: DataFrame) -> DataFrame:
+    """The result that counts of each run and rule: the one recorded last."""
+    return latest_per_key(results, keys=["run_id", "rule_name"], order=F.struct("recorded_at"))
+
+
 def rejection_gate(
     counts: DataFrame, *, warn: float = REJECTION_RATE[0], fail: float = REJECTION_RATE[1]
 ) -> DataFrame:

@@ -120,13 +120,13 @@ WHERE CASE WHEN previous_status IS NULL THEN status <> 'DISCOVERED'
 def ledger_illegal_transitions(spark, sf_dir):
     """Attempts whose status may not follow the one before."""
     rows = derived.ledger(spark, sf_dir).withColumn(
-        "_day", F.col("completed_at").cast("date")
+        "_minute", F.date_trunc("minute", "completed_at")
     )
     return ledger.illegal_transitions(
         rows,
         ledger.RUN_TRANSITIONS,
         groups=["input_checksum"],
-        levels=["_day"],
+        levels=["_minute"],
         order=["completed_at", "run_id"],
         initial=["DISCOVERED"],
     ).select("input_checksum", "run_id", "previous_status", "status")
@@ -597,13 +597,14 @@ WHERE previous_status IS DISTINCT FROM before OR event_version <> n""",
 )
 def lifecycle_transitions(spark, sf_dir):
     """Events that do not follow the event before."""
-    levels, order = ["_day"], ["ts", "event_id"]
+    levels, order = ["_day", "_minute"], ["ts", "event_id"]
     rows = derived.table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("transaction_id"),
         "event_id",
         F.col("event_type").alias("new_status"),
         "ts",
         F.col("ts").cast("date").alias("_day"),
+        F.date_trunc("minute", "ts").alias("_minute"),
     )
     where = {"groups": ["transaction_id"], "levels": levels, "order": order}
     told = scan.previous(rows, value=F.col("new_status"), name="previous_status", **where)

@@ -70,6 +70,22 @@ def poison_evidence(spark, sf_dir):
     return rows.drop("error_message", "failed_at", "value_encoding")
 
 
+@query(
+    "envelope_keys",
+    with_ctes(
+        "d_wire",
+        body="""SELECT "partition" AS kafka_partition, "offset" AS kafka_offset, concat('{"payload":{"account_id":"', user_id, '"}}') AS event_key_json,
+  CAST(CASE WHEN fault = 10 THEN make_timestamp(1704067201000000 + event_id * 1000000)
+    ELSE make_timestamp(1704067200000000 + event_id * 1000000) END AS DATE) AS event_date
+FROM d_wire WHERE fault IN (10, 11) OR fault > 12""",
+    ),
+)
+def envelope_keys(spark, sf_dir):
+    """Key text and folder date of every event record."""
+    rows = envelope.bronze_rows(_parsed(spark, sf_dir))
+    return rows.select("kafka_partition", "kafka_offset", "event_key_json", "event_date")
+
+
 _PLAIN_BALANCE = """CASE event_id % 3
     WHEN 1 THEN concat('"', to_base64(unhex(lpad(hex(CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT)), 16, '0'))), '"')
     ELSE concat('"', CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '"') END"""

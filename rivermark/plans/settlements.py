@@ -16,7 +16,7 @@ from ..operators.contract import Contract, load_contract
 from ..operators.normalize import SILVER_VERSION
 from ..schemas import REJECTION, SETTLEMENT
 from ..session import configure, shared_dir
-from ..sinks import Published, append_runs, publish, read_runs
+from ..sinks import Published, append_gates, append_runs, publish, read_runs
 from ..sources import settlement_files as source
 
 PIPELINE = "settlement-to-silver"
@@ -75,6 +75,7 @@ def run_settlements(
     silver: str,
     raw: str,
     ledger_path: str,
+    gates_path: str | None = None,
     contract: Contract | None = None,
     partner: str | None = None,
     strict: bool = False,
@@ -89,7 +90,8 @@ def run_settlements(
     """Judge all files of a folder in one job; a bad file never stops the others.
 
     Files whose content was attempted before are skipped unless forced. In strict
-    mode one rejected row keeps the whole file out.
+    mode one rejected row keeps the whole file out. With ``gates_path`` the gate's result
+    is recorded there.
     """
     configure(spark)
     contract = contract or load_contract()
@@ -173,6 +175,13 @@ def run_settlements(
     if dry_run:
         result.output_record_count = accepted.count()
         return result
+    if gates_path:
+        counted = spark.range(1).select(
+            F.lit(result.input_record_count).alias("records_read"),
+            F.lit(result.rejected_record_count).alias("records_rejected"),
+        )
+        gates = quality.rejection_gate(counted, warn=warn, fail=fail)
+        append_gates(spark, gates_path, gates, run_id=run_id, at=at)
 
     base = dict(
         run_id=run_id,

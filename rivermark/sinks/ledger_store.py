@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_per_key
+from ..operators.quality import latest_gates
 from ..schemas import RUN_LEDGER
 
 
@@ -56,3 +57,15 @@ def read_runs(spark: SparkSession, path: str, *, latest: bool = True) -> DataFra
     return latest_per_key(
         rows, keys=["run_id", "input_object_uri"], order=F.struct("recorded_at")
     ).select(*RUN_LEDGER.fieldNames())
+
+
+def append_gates(spark: SparkSession, path: str, gates: DataFrame, *, run_id: str, at: datetime) -> None:
+    """Record a run's gate results."""
+    gates.select(
+        F.lit(run_id).alias("run_id"), *gates.columns, F.lit(at).cast("timestamp").alias("recorded_at")
+    ).write.mode("append").parquet(path)
+
+
+def read_gates(spark: SparkSession, path: str) -> DataFrame:
+    """The last result of each rule of each run."""
+    return latest_gates(spark.read.parquet(path))

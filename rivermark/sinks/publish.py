@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ledger import completed_outputs
+from .ledger_store import read_runs
+
 # Where each output lives below the Silver root, and its partitions.
 LAYOUT: dict[str, tuple[str, tuple[str, ...]]] = {
     "history": ("cdc/history", ("entity", "event_date")),
@@ -102,3 +105,24 @@ def _measure(spark: SparkSession, path: str, schema: T.StructType) -> tuple[int,
 def read_published(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A published output with its schema enforced, without its folder columns."""
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+def read_output(
+    spark: SparkSession,
+    ledger_path: str,
+    output_type: str,
+    schema: T.StructType,
+    *,
+    entity: str | None = None,
+) -> DataFrame:
+    """Rows of one output over all completed runs; unfinished runs aren't seen.
+
+    The paths, one per run, come to the driver, as Spark lists them there anyway.
+    """
+    outputs = completed_outputs(read_runs(spark, ledger_path)).where(F.col("output_type") == output_type)
+    if entity is not None:
+        outputs = outputs.where(F.col("entity_name") == entity)
+    paths = [r["path"] for r in outputs.where("record_count > 0").select("path").distinct().collect()]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths).select(*schema.fieldNames())

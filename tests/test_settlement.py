@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from rivermark.operators import inventory, settlement
 from rivermark.operators.contract import ContractError, load_contract
 from rivermark.plans.settlements import run_settlements
-from rivermark.sinks import read_runs
+from rivermark.schemas import SETTLEMENT
+from rivermark.sinks import read_gates, read_output, read_runs
 from rivermark.sources import settlement_files as source
 
 CONTRACT = load_contract()
@@ -239,6 +240,7 @@ def run(spark, tmp_path, **options):
         silver=str(tmp_path / "silver"),
         raw=str(tmp_path / "raw"),
         ledger_path=str(tmp_path / "ledger"),
+        gates_path=str(tmp_path / "gates"),
         partner="VCB",
         at=AT,
         **options,
@@ -263,6 +265,9 @@ def test_job(spark, tmp_path):
     assert raw.where(F.col("file_name") == name).first()["content"] == FILES[name][0]
     evidence = spark.read.json(str(tmp_path / "raw/rejected/run_id=one")).first()
     assert json.loads(evidence["raw_record"])["currency"] == "usd"
+    gates = read_gates(spark, str(tmp_path / "gates")).collect()
+    assert [(r["run_id"], r["rule_name"], r["classification"]) for r in gates] == [("one", "rejection_rate", "FAIL")]
+    assert read_output(spark, str(tmp_path / "ledger"), "settlements", SETTLEMENT).count() == 2
     again = run(spark, tmp_path, run_id="two")
     assert again.status == "SKIPPED"
     forced = run(spark, tmp_path, run_id="three", force=True, strict=True)
