@@ -329,7 +329,7 @@ def gate_results(spark, sf_dir):
     "published_rows",
     with_ctes(
         "d_ledger",
-        body="""SELECT run_id, CASE WHEN n = 1 THEN 'history' ELSE 'rejections' END AS output_type, concat('/out/', n, '/', run_id) AS path, n AS record_count
+        body="""SELECT run_id, CASE WHEN n = 1 THEN 'history' ELSE 'rejections' END AS output_type, concat('/out/', n, '/', run_id) AS path, CAST(n AS BIGINT) AS record_count
 FROM (SELECT run_id, unnest([1, 2]) AS n FROM d_ledger WHERE status = 'COMPLETED')""",
     ),
 )
