@@ -9,7 +9,9 @@ and read alike on every page, are removed from each page.
 Hosts with few pages say nothing about what repeats, and some branches differ on every
 page though they aren't the article. So an element's role (navigation, footer, form,
 advert, comments ...) also removes it, and an article or main element, where there is
-one, bounds the text and is never removed for being alike.
+one, bounds the text. Inside, branches are judged against their article, so boxes that
+all articles share are removed, but not the text of articles that are copies. An article
+that is alike on all pages gives way to others, or to a longer text outside that differs.
 
 Counts are summed in the tasks first, then by a shuffle of narrow rows; a host with
 any share of the pages is one row per element and text. The pages meet their host's
@@ -57,6 +59,8 @@ ROLE_WORDS = frozenset(
     "pager skip copyright masthead".split()
 )
 CONTENT_TAGS = frozenset(("article", "main"))
+# The path up to the innermost article or main.
+BOUND = r"(?s)^(.*/(?:article|main)(?:[.#][^/]*)?)(?=/|$)"
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # What an opening element ends if it is still open, up to the elements that enclose it.
 ENDS = {name: {"p"} for name in BLOCKS} | {
@@ -76,12 +80,13 @@ _NUMBER = re.compile(r"\d+")
 
 @dataclass
 class Element:
-    """An open element: its path in the tree, and what its place says about text."""
+    """An open element: its path in the tree, and what its place says about text.
+    ``content`` is the depth of the innermost article or main, 0 without one."""
 
     name: str
     path: str
     dropped: bool
-    content: bool
+    content: int
     children: list[str] = field(default_factory=list)
 
 
@@ -92,7 +97,7 @@ class Block:
     text: str
     own: bool
     dropped: bool
-    content: bool
+    content: int
     heading: bool
     paths: tuple[str, ...]
 
@@ -109,7 +114,7 @@ def _role(name: str, attributes: str) -> tuple[str, bool]:
                 dropped |= value.strip().lower() in ROLES
             else:
                 dropped |= any(w.lower() in ROLE_WORDS for w in _WORDS.findall(value))
-                key += ("." if attribute == "class" else "#") + _NUMBER.sub("0", ".".join(value.split()))
+                key += ("." if attribute == "class" else "#") + _NUMBER.sub("0", ".".join(value.split())).replace("/", "|")
     return key, dropped and name not in ("html", "body")
 
 
@@ -120,7 +125,7 @@ def parse(page: str) -> tuple[list[Block], dict[str, str]]:
     ends an open paragraph, an item the item before it, an end tag all that is open
     inside. Elements within a line (``b``, ``a``, ...) don't end a block.
     """
-    root = Element("", "", False, False)
+    root = Element("", "", False, 0)
     stack, blocks, arranged = [root], [], {}
     pieces: list[str] = []
     links, link_chars, chars, at, size = 0, 0, 0, 0, len(page)
@@ -195,7 +200,7 @@ def parse(page: str) -> tuple[list[Block], dict[str, str]]:
                 continue
             above = stack[-1]
             key, dropped = _role(name, mark[3])
-            content = above.content or name in CONTENT_TAGS
+            content = len(stack) if name in CONTENT_TAGS else above.content
             if name == "header" and not any(e.name in CONTENT_TAGS for e in stack):
                 dropped = True
             above.children.append(key)
@@ -211,11 +216,11 @@ def _digest(text: str) -> int:
 
 def style_rows(page: str) -> Iterator[tuple[str, int, int]]:
     """Per element of the page's tree: path, digest of its presentation and of its
-    content (the text outside links below it)."""
+    content (the text below it, in articles also that of links; 0 without any)."""
     blocks, arranged = parse(page)
     content: dict[str, int] = dict.fromkeys(arranged, 0)
     for block in blocks:
-        if block.own:
+        if block.own or block.content:
             value = _digest(block.text)
             for path in set(block.paths):
                 content[path] = (content[path] * 1_000_003 + value) & 0x7FFFFFFFFFFFFFFF
@@ -224,16 +229,26 @@ def style_rows(page: str) -> Iterator[tuple[str, int, int]]:
 
 
 def main_text(page: str | None, low: Iterable[str] = ()) -> str:
-    """The article's blocks, joined by an empty line, without the ``low`` branches."""
+    """The article's blocks, joined by an empty line, without the ``low`` branches.
+
+    Elements around an article or main are never low for it. Where each one on the page
+    is low itself, a longer text outside of them is taken.
+    """
     if not page:
         return ""
     blocks, _ = parse(page)
     kept = [b for b in blocks if not b.dropped]
     low = set(low)
     inside = [b for b in kept if b.content]
+    outside = [b for b in kept if not b.content and not low.intersection(b.paths)]
+    chosen = [b for b in inside if not low.intersection(b.paths[b.content - 1 :])]
     if not inside:
-        inside = [b for b in kept if not low.intersection(b.paths)] if low else kept
-    return "\n\n".join(b.text for b in inside)
+        chosen = outside
+    elif all(b.paths[b.content - 1] in low for b in inside):
+        chosen = [b for b in inside if not low.intersection(b.paths[b.content :])]
+        if sum(len(b.text) for b in outside) > sum(len(b.text) for b in inside):
+            chosen = outside
+    return "\n\n".join(b.text for b in chosen)
 
 
 def _count_styles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +260,8 @@ def _count_styles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if page:
                 for path, style, content in style_rows(page):
                     counts[host, path, 0, style] += 1
-                    counts[host, path, 1, content] += 1
+                    if content:
+                        counts[host, path, 1, content] += 1
         if counts:
             columns = list(zip(*[(*key, n) for key, n in counts.items()], strict=True))
             kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64())
@@ -256,7 +272,8 @@ def importance(pages: DataFrame) -> DataFrame:
     """Importance of the elements of each host: ``host, path, pages, importance``.
 
     An element's entropies are divided by that of as many pages that all differ; content
-    weighs ``CONTENT_SHARE``, presentation the rest.
+    weighs ``CONTENT_SHARE``, presentation the rest. ``pages`` are those with content,
+    where there are any.
     """
     styles = pages.select("host", "html").mapInArrow(
         _count_styles, "host string, path string, kind int, value bigint, n bigint"
@@ -267,8 +284,25 @@ def importance(pages: DataFrame) -> DataFrame:
     share = F.when(F.col("kind") == 1, CONTENT_SHARE).otherwise(1 - CONTENT_SHARE)
     most = F.log(F.greatest(F.col("pages"), F.lit(2)).cast("double"))
     return kinds.groupBy("host", "path").agg(
-        F.max("pages").alias("pages"), F.sum(share * F.col("entropy") / most).alias("importance")
+        F.coalesce(F.max(F.when(F.col("kind") == 1, F.col("pages"))), F.max("pages")).alias("pages"),
+        F.sum(share * F.col("entropy") / most).alias("importance"),
+    )
+
+
+def low_branches(judged: DataFrame, low: float) -> DataFrame:
+    """``host, path`` of the elements whose importance is low.
+
+    What is inside an article or main is compared with that element's importance, and
+    such an element with the greatest of its host; all else with 1.
+    """
+    rows = judged.withColumn("bound", F.regexp_extract("path", BOUND, 1))
+    bounds = rows.filter("path = bound").select("host", "bound", F.col("importance").alias("whole"))
+    tops = rows.groupBy("host").agg(F.max("importance").alias("top"))
+    weak = rows.filter(F.col("importance") < low).join(bounds, ["host", "bound"], "left").join(tops, "host")
+    against = F.when(F.col("bound") == "", 1.0).otherwise(
+        F.coalesce(F.when(F.col("path") != F.col("bound"), F.col("whole")), F.col("top"))
     )
+    return weak.filter(F.col("importance") < low * against).select("host", "path")
 
 
 def extract_text(
@@ -292,9 +326,9 @@ def extract_text(
     rows = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html")
     ).withColumn("host", host)
+    judged = stored(importance(rows).filter(F.col("pages") >= least_pages), "style-importance")
     weak = stored(
-        importance(rows)
-        .filter((F.col("pages") >= least_pages) & (F.col("importance") < low))
+        low_branches(judged, low)
         .groupBy("host")
         .agg(F.array_sort(F.collect_list("path")).alias("low")),
         "style-trees",

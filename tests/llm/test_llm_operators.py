@@ -141,6 +141,24 @@ def test_site_tree_removes_what_all_pages_share(spark):
     assert extract_text(frame.limit(0)).count() == 0
 
 
+def test_site_tree_decides_inside_articles(spark):
+    box = "<div class=box>Same on all</div>"
+    bodies = {
+        "box": lambda k: f"<article><h1>T{k}</h1>{box}<div><p>Text {k} of its own</p></div><ul><li><a href=x>Ref {k}</a></ul></article>",
+        "several": lambda k: f"<main class='w-1/2'><article class=a>{box}</article><article class=b><p>Own {k}</p></article></main>",
+        "teaser": lambda k: f"<article><p>Read this</p></article><div class=story><p>A long story, number {k}</p></div>",
+        "copies": lambda k: f"<div>{k}</div><article><h1>H</h1><p>{'One text' if k else 'Another text'}</p></article>",
+    }
+    pages = [(k, f"http://{h}.example/{k}", body(k)) for h, body in bodies.items() for k in range(20)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = {(r.url[7:].split(".")[0], r.page_id): r.text for r in extract_text(frame).collect()}
+    for k in range(20):
+        assert got["box", k] == f"T{k}\n\nText {k} of its own\n\nRef {k}"
+        assert got["several", k] == f"Own {k}"
+        assert got["teaser", k] == f"A long story, number {k}"
+        assert got["copies", k].endswith("One text" if k else "Another text")
+
+
 def test_mix(docs, none):
     rows = mix(docs, keep=["text"]).collect()
     assert len(rows) == 10
