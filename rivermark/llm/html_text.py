@@ -9,9 +9,11 @@ and read alike on every page, are removed from each page.
 Hosts with few pages say nothing about what repeats, and some branches differ on every
 page though they aren't the article. So an element's role (navigation, footer, form,
 advert, comments ...) also removes it, and an article or main element, where there is
-one, bounds the text. Inside, branches are judged against their article, so boxes that
-all articles share are removed, but not the text of articles that are copies. An article
-that is alike on all pages gives way to others, or to a longer text outside that differs.
+one, bounds the text. A class or id names a role as a whole, not by one of its words,
+and removes no element that holds an article, other than replies to another one. Inside,
+branches are judged against their article, so boxes that all articles share are removed,
+but not the text of articles that are copies. An article that is alike on all pages gives
+way to others, or to a longer text outside that differs.
 
 Counts are summed in the tasks first, then by a shuffle of narrow rows; a host with
 any share of the pages is one row per element and text. The pages meet their host's
@@ -58,6 +60,10 @@ ROLE_WORDS = frozenset(
     "replies respond disqus share sharing social related recommended recommendations widget toolbar pagination "
     "pager skip copyright masthead".split()
 )
+# A class or id names a role if it is made of role words and these.
+ROLE_PLACES = frozenset("site top bottom global primary secondary list area bar block box item items links container wrapper wrap unit slot inner".split())
+# Roles of articles that are no main text where the page has another one.
+REPLIES = frozenset("comment comments commentlist reply replies respond disqus related recommended recommendations".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 # The path up to the innermost article or main.
 BOUND = r"(?s)^(.*/(?:article|main)(?:[.#][^/]*)?)(?=/|$)"
@@ -81,12 +87,16 @@ _NUMBER = re.compile(r"\d+")
 @dataclass
 class Element:
     """An open element: its path in the tree, and what its place says about text.
-    ``content`` is the depth of the innermost article or main, 0 without one."""
+    ``content`` is the depth of the innermost article or main, 0 without one. ``named``
+    is the role its class or id names: 2 for replies, 1 for another; ``wraps``, whether
+    it is or holds an article or main."""
 
     name: str
     path: str
     dropped: bool
     content: int
+    named: int = 0
+    wraps: bool = False
     children: list[str] = field(default_factory=list)
 
 
@@ -102,9 +112,19 @@ class Block:
     paths: tuple[str, ...]
 
 
-def _role(name: str, attributes: str) -> tuple[str, bool]:
-    """An element's key in the tree, and whether its role removes it."""
-    dropped, key = name in ROLE_TAGS, name
+def _named(value: str) -> int:
+    """The role that a whole class or id names: 2 for replies, 1 for another, 0 for none."""
+    most = 0
+    for token in value.split():
+        words = {w.lower() for w in _WORDS.findall(token)}
+        if words & ROLE_WORDS and words <= ROLE_WORDS | ROLE_PLACES:
+            most = max(most, 2 if words & REPLIES else 1)
+    return most
+
+
+def _role(name: str, attributes: str) -> tuple[str, bool, int]:
+    """An element's key in the tree, whether its tag or role removes it, and the role it names."""
+    dropped, key, named = name in ROLE_TAGS, name, 0
     if attributes.strip():
         for attribute, *values in _NAMED.findall(attributes):
             attribute, value = attribute.lower(), "".join(values)
@@ -113,9 +133,10 @@ def _role(name: str, attributes: str) -> tuple[str, bool]:
             elif attribute == "role":
                 dropped |= value.strip().lower() in ROLES
             else:
-                dropped |= any(w.lower() in ROLE_WORDS for w in _WORDS.findall(value))
+                named = max(named, _named(value))
                 key += ("." if attribute == "class" else "#") + _NUMBER.sub("0", ".".join(value.split())).replace("/", "|")
-    return key, dropped and name not in ("html", "body")
+    page = name in ("html", "body")
+    return key, dropped and not page, 0 if page else named
 
 
 def parse(page: str) -> tuple[list[Block], dict[str, str]]:
@@ -127,6 +148,7 @@ def parse(page: str) -> tuple[list[Block], dict[str, str]]:
     """
     root = Element("", "", False, 0)
     stack, blocks, arranged = [root], [], {}
+    named_above: list[tuple[Block, list[Element]]] = []
     pieces: list[str] = []
     links, link_chars, chars, at, size = 0, 0, 0, 0, len(page)
 
@@ -146,6 +168,8 @@ def parse(page: str) -> tuple[list[Block], dict[str, str]]:
                 blocks.append(
                     Block(text, chars > link_chars, top.dropped, top.content, heading, tuple(e.path for e in stack[1:]))
                 )
+                if not top.dropped and (named := [e for e in stack if e.named]):
+                    named_above.append((blocks[-1], named))
             pieces.clear()
         chars = link_chars = 0
 
@@ -199,14 +223,27 @@ def parse(page: str) -> tuple[list[Block], dict[str, str]]:
             if name == "hr":
                 continue
             above = stack[-1]
-            key, dropped = _role(name, mark[3])
+            key, dropped, named = _role(name, mark[3])
             content = len(stack) if name in CONTENT_TAGS else above.content
             if name == "header" and not any(e.name in CONTENT_TAGS for e in stack):
                 dropped = True
             above.children.append(key)
-            stack.append(Element(name, f"{above.path}/{key}", above.dropped or dropped, content))
+            stack.append(Element(name, f"{above.path}/{key}", above.dropped or dropped, content, named))
+            if name in CONTENT_TAGS:
+                for element in stack:
+                    element.wraps = True
     flush()
     close(1)
+    # Named roles remove elements without an article; articles only as replies to another one.
+    replies = []
+    for block, named in named_above:
+        block.dropped = any(not e.wraps for e in named)
+        if not block.dropped and any(e.named == 2 for e in named):
+            replies.append(block)
+    apart = {id(block) for block in replies}
+    if replies and any(b.content and not b.dropped and id(b) not in apart for b in blocks):
+        for block in replies:
+            block.dropped = True
     return blocks, arranged
 
 

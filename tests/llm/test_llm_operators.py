@@ -128,6 +128,21 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article class='post has-sidebar'><p>x</p></article>", "x"), ("<main class='no-sidebar'><p>x</p></main>", "x"),
+        ("<div id=page class=with-banner><article><p>x</p></article></div>", "x"),
+        ("<div class='entry comments-open'><p>x</p></div>", "x"), ("<main class=sidebar><p>x</p></main>", "x"),
+        ("<div class=banner><article><p>x</p></article></div>", "x"),
+        ("<article class=comment><p>x</p></article>", "x"), ("<div class='site-footer x'>y</div><p>x</p>", "x"),
+        ("<article><p>x</p></article><div class=comments><article class=comment>y</article></div>", "x"),
+    ],
+)
+def test_role_words_keep_articles(page, text):
+    assert main_text(page) == text
+
+
 def test_site_tree_removes_what_all_pages_share(spark):
     pages = [
         (k, f"http://h.example/{k}", f"<body><div class=box>Same on all</div><div><p>Text {k} of its own</p></div></body>")
