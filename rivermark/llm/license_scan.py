@@ -2,14 +2,17 @@
 
 A text is made canonical (case, punctuation, copyright lines, equivalent spellings) and
 cut into units: the whole text, its paragraphs and its lines. The digest of each whole
-unit is looked up among those of known licence texts and notices, made canonical in the
-same way. The known texts are joined by a broadcast of measured size, in the scan of the
+unit is looked up among those of known licence texts, their paragraphs and notices, made
+canonical in the same way. The known texts are joined by a broadcast of measured size, in the scan of the
 documents, so hits and one row per document are shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import pkgutil
+import re
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +37,92 @@ _ISC = (
     "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
     "granted, provided that the above copyright notice and this permission notice appear in all copies."
 )
+_ISC_AS_IS = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL '
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+    "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN "
+    "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
+    "THIS SOFTWARE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:"
+)
+_BSD_1 = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+)
+_BSD_2 = (
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_3 = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission."
+)
+_BSD_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+# Licences whose full texts are files beside this module.
+FULL_TEXTS = ("Apache-2.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0")
+# Words that a paragraph of a full text has at least to stand for its licence.
+PARAGRAPH_WORDS = 12
+
+
+def _plain(text: str) -> str:
+    return " ".join(re.findall(r"\w+", text.lower()))
+
+
+def _full_texts() -> Iterator[tuple[str, str]]:
+    """Full texts, with and without the advice after their terms, and the paragraphs by
+    which a licence is known inside a longer text.
+
+    A paragraph in the texts of several licences says nothing. Paragraphs of the GNU
+    licences also have to name them, as others (AGPL) repeat the rest.
+    """
+    names, paragraphs = defaultdict(set), []
+    for name in FULL_TEXTS:
+        text = pkgutil.get_data(__package__, f"licenses/{name}.txt").decode()
+        yield name, text
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        if end:
+            yield name, terms + end
+            yield name, terms
+        for part in re.split(r"\n\s*\n", text):
+            names[_plain(part)].add(name)
+            paragraphs.append((name, part))
+    for name, part in paragraphs:
+        plain = _plain(part)
+        gnu = "GPL" not in name or "general public license" in plain
+        if len(names[plain]) == 1 and len(plain.split()) >= PARAGRAPH_WORDS and gnu:
+            yield name, part
+
+
+def _short_texts() -> Iterator[tuple[str, str]]:
+    """MIT, ISC and BSD: whole texts with the usual titles, and paragraphs."""
+    grant, keep = _MIT[: _MIT.index("The above")], _MIT[_MIT.index("The above") :]
+    for part in (grant, keep, _AS_IS):
+        yield "MIT", part
+    for title in ("The MIT License", "The MIT License (MIT)"):
+        yield "MIT", f"{title} {_MIT} {_AS_IS}"
+    for disclaimer in (_ISC_AS_IS, _ISC_AS_IS.replace("SOFTWARE INCLUDING", "SOFTWARE, INCLUDING")):
+        for title in ("", "ISC License", "The ISC License"):
+            yield "ISC", f"{title} {_ISC} {disclaimer}"
+    for first, second, third in (("", "", ""), ("1.", "2.", "3.")):
+        for holder in ("HOLDER", "OWNER", "HOLDERS"):
+            two = f"{_BSD} {first} {_BSD_1} {second} {_BSD_2}"
+            for title in ("", "BSD 2-Clause License", 'The 2-Clause BSD License', 'BSD 2-Clause "Simplified" License'):
+                yield "BSD-2-Clause", f"{title} {two} {_BSD_AS_IS.format(holder)}"
+            for title in ("", "BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'):
+                yield "BSD-3-Clause", f"{title} {two} {third} {_BSD_3} {_BSD_AS_IS.format(holder)}"
+        yield "BSD-3-Clause", f"{third} {_BSD_3}"
+
+
 KNOWN: tuple[tuple[str, str], ...] = (
     ("MIT", f"MIT License {_MIT} {_AS_IS}"),
     ("MIT", f"{_MIT} {_AS_IS}"),
@@ -61,6 +150,8 @@ KNOWN: tuple[tuple[str, str], ...] = (
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    *_short_texts(),
+    *_full_texts(),
 )
 
 # Spellings that mean the same; fixed values. Applied in order, on lower case.
@@ -73,8 +164,16 @@ SPELLINGS = (
     ("&", " and "),
     ("https:", "http:"),
 )
-COPYRIGHT_LINE = r"(?m)^[^\n\p{L}\p{N}(©]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+# Lines that name a holder: copyright with a year, (c), a blank to fill in or a kind of holder, (c) with a year. Others
+# that begin with the word are parts of sentences.
+COPYRIGHT_LINE = (
+    r"(?m)^[^\n\p{L}\p{N}(©]*(?:copyright[: ]*(?:\(c\)|©|[\[<{]|by\b)|copyright\b[^\n]*\b(?:19|20)[0-9]{2}\b"
+    r"|copyright\b[^\n]*\b(?:inc|ltd|llc|gmbh|corp|corporation|foundation|authors)\.?[ \t]*$"
+    r"|\(c\)[^\n]*\b(?:19|20)[0-9]{2}\b|©|all rights reserved\b)[^\n]*$"
+)
 MARKS = r"[^\p{L}\p{N}\n]+"
+# Different lengths of known texts up to which they are listed in the plan.
+LENGTHS = 2_000
 GAPS = r"\n(?: ?\n)+"
 
 
@@ -119,7 +218,7 @@ def scan_licenses(
         .select("license", F.md5("unit").alias("digest"), F.length("unit").alias("n"))
     )
     facts = texts.agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.sum(F.length("license") + 200).alias("bytes")
+        F.min("n").alias("least"), F.max("n").alias("most"), F.collect_set("n").alias("lengths"), F.sum(F.length("license") + 200).alias("bytes")
     ).first()
     digests = texts.select("license", "digest").unionByName(
         spark.range(1).select(F.lit(None).cast("string").alias("license"), F.lit("").alias("digest"))
@@ -137,9 +236,11 @@ def scan_licenses(
     # each document's own row.
     unit = F.trim(F.regexp_replace("part", r"[ \n]+", " "))
     fits = F.length("part") >= F.lit(facts["least"] or 0)
-    digest = F.when(F.col("part") == "", F.lit("")).when(
-        fits & F.length(unit).between(F.lit(facts["least"] or 0), F.lit(facts["most"] or -1)), F.md5(unit)
-    )
+    lengths = facts["lengths"]
+    possible = F.length(unit).between(F.lit(facts["least"] or 0), F.lit(facts["most"] or -1))
+    if 0 < len(lengths) <= LENGTHS:
+        possible &= F.length(unit).isin(lengths)
+    digest = F.when(F.col("part") == "", F.lit("")).when(fits & possible, F.md5(unit))
     found = rows.select("doc_id", "key", "whole", F.explode(parts).alias("part")).select(
         "doc_id", "key", (F.trim("part") == F.col("whole")).alias("is_whole"), digest.alias("digest")
     )

@@ -1,13 +1,15 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
 import random
+import textwrap
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rivermark.llm import darts, html_text, lm, quality, textbytes, toxicity
+from rivermark.llm import darts, html_text, license_scan, lm, quality, textbytes, toxicity
 from rivermark.llm.components import connected_components
 from rivermark.llm.decontaminate import contamination, decontaminate
 from rivermark.llm.exact_dedup import exact_duplicates, without_exact_duplicates
@@ -351,3 +353,33 @@ def test_licenses(spark, docs, none):
     assert [r.licenses for r in scan_licenses(docs, known=nothing).collect()] == [[]] * 10
     both = spark.createDataFrame([("A", "short"), ("B", "Short."), ("C", "(c) x")], "license string, text string")
     assert {r.doc_id: r.licenses for r in scan_licenses(docs, known=both).collect()}[6] == ["A", "B"]
+
+
+def test_full_license_texts(spark):
+    def text(name):
+        return (Path(license_scan.__file__).parent / "licenses" / f"{name}.txt").read_text()
+
+    def wrapped(*paragraphs, width=70):
+        return "\n\n".join(textwrap.fill(p, width) for p in paragraphs)
+
+    mit = license_scan._MIT.replace("conditions: The", "conditions:\0The").split("\0") + [license_scan._AS_IS]
+    isc = [license_scan._ISC, license_scan._ISC_AS_IS]
+    bsd = [license_scan._BSD, "1. " + license_scan._BSD_1, "2. " + license_scan._BSD_2]
+    as_is = license_scan._BSD_AS_IS.format("HOLDER")
+    head = "Copyright 2020 Jane Doe"
+    whole = {name: text(name) for name in license_scan.FULL_TEXTS} | {
+        "MIT": wrapped("MIT License", head, *mit), "ISC": wrapped("ISC License", head, *isc),
+        "BSD-2-Clause": wrapped(head, *bsd, as_is),
+        "BSD-3-Clause": wrapped(head, *bsd, "3. " + license_scan._BSD_3, as_is),
+    }
+    rows = [(f"whole {n}", t) for n, t in whole.items()]
+    rows += [(f"inside {n}", f"Some words before.\n\n{t}\n\nand some after.") for n, t in whole.items()]
+    rows += [(f"source MIT {w}", "\n".join(f" * {x}" for x in wrapped(head, *mit, width=w).split("\n")) + "\n */\nint x;") for w in range(60, 80)]
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: (r.licenses, r.whole) for r in scan_licenses(frame).collect()}
+    for name in whole:
+        assert got[f"whole {name}"] == ([name], True)
+        if name != "BSD-2-Clause":
+            assert got[f"inside {name}"] == ([name], False)
+    for width in range(60, 80):
+        assert got[f"source MIT {width}"] == (["MIT"], False)
