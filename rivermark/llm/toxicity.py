@@ -47,6 +47,8 @@ LOOK_ALIKES = {
     "n": "η", "o": "оο", "p": "рρ", "q": "ԛ", "s": "ѕ",
     "t": "тτ", "u": "υ", "v": "ν", "w": "ԝ", "x": "хχ", "y": "уγ",
 }
+# Greek capitals that look like other letters than their small ones do.
+CAPITALS = {"Η": "h", "Ν": "n", "Υ": "y", "Μ": "m", "Ζ": "z"}
 # Digits and signs that stand for letters. One and l are both folded to i.
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "l": "i"}
 SIGNS = {"@": "a", "$": "s", "!": "i", "|": "i"}
@@ -54,8 +56,10 @@ SIGNS = {"@": "a", "$": "s", "!": "i", "|": "i"}
 _TABLE = {ord(x): letter for letter, all_of in LOOK_ALIKES.items() for x in all_of}
 _TABLE |= {0xFF01 + k: chr(0x21 + k) for k in range(94)}
 _TABLE |= dict.fromkeys((0x00AD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF), None)
+_CAPITALS = str.maketrans(CAPITALS)
 _LETTERS = str.maketrans(DIGITS)
 _SIGN = re.compile(r"[@$!|](?=\w)")
+_SIGN_RUN = re.compile(r"[@$!|]+(?=\w)|(?<=\w)[@$!|]+")
 _WORD = re.compile(r"\w+")
 _STEM_LENGTHS = range(4, 9)
 
@@ -64,13 +68,14 @@ LEAST_ODDS = 4.0
 LEAST_GAIN = 30.0
 
 
-def fold(text: str) -> str:
-    """Lower case, look-alikes and stand-ins as plain letters."""
-    text = text.lower()
+def fold(text: str, *, runs: bool = False) -> str:
+    """Lower case, look-alikes and stand-ins as plain letters, of signs one before a
+    letter, or with ``runs`` all that touch one. Both give texts of one length."""
+    text = (text if text.isascii() else text.translate(_CAPITALS)).lower()
     if not text.isascii():
         text = text.translate(_TABLE)
     if "@" in text or "$" in text or "!" in text or "|" in text:
-        text = _SIGN.sub(lambda m: SIGNS[m[0]], text)
+        text = (_SIGN_RUN if runs else _SIGN).sub(lambda m: "".join(SIGNS[x] for x in m[0]), text)
     return text.translate(_LETTERS)
 
 
@@ -129,8 +134,15 @@ class Lexicon:
         """Weight per hundred words."""
         if not text:
             return 0.0
-        found = self.matches(fold(text))
-        return 100 * sum(w for _, _, w in found) / len(text.split()) if found else 0.0
+        folded = fold(text)
+        found = {start: w for start, _, w in self.matches(folded)}
+        # A sign after a letter may be punctuation or a letter, so both readings count.
+        if any(sign in folded for sign in SIGNS) and (other := fold(text, runs=True)) != folded:
+            for start, end, w in self.matches(other):
+                # What both readings spell alike was judged above, exceptions included.
+                if folded[start : end + 1] != other[start : end + 1]:
+                    found[start] = max(found.get(start, 0.0), w)
+        return 100 * sum(found.values()) / len(text.split()) if found else 0.0
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         """Probability of toxicity; the same small one for all texts without a match."""

@@ -95,6 +95,14 @@ def test_folded_words_are_found(text):
     assert toxicity.train([], []).scores(pa.array([text]))[0] > 0.5
 
 
+@pytest.mark.parametrize(
+    "text", ["a$$hole", "what a dumba$$", "dumba$$, really", "scum$", "IDIOT!!you", "you \u039cORO\u039d", "S\u0397IT\u0397EAD w\u0397ORE"]
+)
+def test_doubled_and_final_signs_and_greek_capitals_are_found(text):
+    assert toxicity.train([], []).scores(pa.array([text]))[0] > 0.5
+    assert toxicity.train([], []).density("what trash can$ hold!") == 0
+
+
 @pytest.mark.parametrize("text", ["put it in the trash can", "idiomatic prose", "", None, "100 $ or 1!"])
 def test_clean_texts_and_exceptions_are_not(text):
     assert toxicity.train([], []).scores(pa.array([text]))[0] < 0.5
