@@ -16,6 +16,7 @@ from .lm import score_texts
 from .mixing import mix
 from .near_dedup import near_duplicates
 from .quality import fold, quality_model, with_quality
+from .token_counts import token_counts
 from .toxicity import toxicity_model, with_toxicity
 from .url_filter import judge_urls
 
@@ -103,6 +104,22 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text, and how much of it fits into 2048 tokens."""
+    counted = token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), budgets=(LIMIT,))
+    return counted.select(
+        "doc_id",
+        "n_bytes",
+        "n_tokens",
+        (F.col("n_tokens") > LIMIT).alias("over_limit"),
+        F.col(f"fit_{LIMIT}").alias("fit_chars"),
+    )
+
+
+#: The token limit of op11.
+LIMIT = 2048
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -116,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_exact_dedup,
         op10_url_filter,
+        op11_token_counts,
     )
 }
 
