@@ -11,6 +11,7 @@ from .common import table
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
 from .html_text import extract_text
+from .lexical_search import search
 from .license_scan import COPYRIGHT_LINE, GAPS, KNOWN, MARKS, SPELLINGS, scan_licenses
 from .lm import score_texts
 from .mixing import mix
@@ -116,6 +117,11 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 #: The token limit of op11.
 LIMIT = 2048
 
@@ -134,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_exact_dedup,
         op10_url_filter,
         op11_token_counts,
+        op12_lexical_search,
     )
 }
 
@@ -248,3 +255,30 @@ FROM d LEFT JOIN h USING (id)
 
 
 ORACLES["op6_license_scan"] = _license_sql()
+
+_TERMS = r"regexp_extract_all(translate(coalesce({col}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+ORACLES["op12_lexical_search"] = f"""
+WITH d AS (
+  SELECT doc_id, {_TERMS.format(col='text')} AS t FROM documents
+), g AS (
+  SELECT count(*) FILTER (WHERE len(t) > 0) AS nn, CAST(sum(len(t)) AS BIGINT) AS ll FROM d
+), tf AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY doc_id, n, term
+), q AS (
+  SELECT DISTINCT item_id, unnest({_TERMS.format(col='text')}) AS term FROM benchmark
+), df AS (
+  SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM q) GROUP BY term
+), w AS (
+  SELECT q.item_id, q.term, CAST(floor(1000.0 * ln((2.0 * nn + 2.0) / (2.0 * df + 1.0))) AS BIGINT) AS w
+  FROM q JOIN df USING (term), g
+), s AS (
+  SELECT item_id, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll)))) AS BIGINT) AS score
+  FROM w JOIN tf USING (term), g GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0
+) WHERE rank <= 10
+"""
