@@ -17,6 +17,7 @@ from .lm import score_texts
 from .mixing import mix
 from .near_dedup import near_duplicates
 from .quality import fold, quality_model, with_quality
+from .spelling_variants import spelling_variants
 from .token_counts import token_counts
 from .toxicity import toxicity_model, with_toxicity
 from .url_filter import judge_urls
@@ -122,6 +123,11 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, their near words, forms and roots over all documents."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 #: The token limit of op11.
 LIMIT = 2048
 
@@ -141,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_url_filter,
         op11_token_counts,
         op12_lexical_search,
+        op13_spelling_variants,
     )
 }
 
