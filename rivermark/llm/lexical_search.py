@@ -6,7 +6,7 @@ the query weighs w = floor(1000 * ln((2N + 2) / (2df + 1))); a document has
 m = 10 + (90 n N) div L; its score sums w * ((10^9 tf) div (1000 tf + 8 m)) over the distinct
 terms of the query.
 
-The method, per block of documents (one Arrow batch in a task):
+The method, per block of SIGNATURE_BLOCK documents (inside an Arrow batch in a task):
 
 * every document's distinct terms set K bits of a Bloom signature of SIGNATURE_BITS bits; the
   signatures are stored bit-sliced, one packed bitmap over the block's documents per bit;
@@ -50,6 +50,9 @@ LOWER = str.maketrans(UPPER, UPPER.lower())
 #: Bits of a document signature and bits set per term.
 SIGNATURE_BITS = 2048
 PROBES = 3
+#: Documents per signature block: bounds a task's memory whatever the Arrow batch size; each
+#: block keeps its own top k, so the ranking stays exact.
+SIGNATURE_BLOCK = 1024
 #: Query terms handed to the tasks in one pass over the documents; larger query sets take
 #: several passes, each over all documents.
 BLOCK_TERMS = 200_000
@@ -70,30 +73,35 @@ def _gain(tf, m):
 
 
 def _block_top(
+    ids: list, texts: list, queries: dict, n_docs: int, n_terms: int, k: int, block: int = SIGNATURE_BLOCK
+) -> Iterator[tuple]:
+    """The top k of every ``block`` documents of a batch for every query: (item_id, doc_id, score) rows."""
+    for start in range(0, len(texts), block):
+        end = start + block
+        yield from _signature_top(ids[start:end], texts[start:end], queries, n_docs, n_terms, k)
+
+
+def _signature_top(
     ids: list, texts: list, queries: dict, n_docs: int, n_terms: int, k: int
 ) -> Iterator[tuple]:
-    """The top k of one block of documents for every query: (item_id, doc_id, score) rows."""
+    """The top k of one signature block for every query."""
     counts = [Counter(terms_of(t)) for t in texts]
     size = len(counts)
     n = np.fromiter((sum(c.values()) for c in counts), np.int64, size)
     most = np.fromiter((max(c.values(), default=0) for c in counts), np.int64, size)
     m = 10 + (90 * n * n_docs) // max(n_terms, 1)
     bound = _gain(most, m)
-    # Bit slices: one packed bitmap over the block's documents per signature bit.
-    cache: dict[str, np.ndarray] = {}
-    rows, cols = [], []
-    for d, c in enumerate(counts):
-        for term in c:
-            p = cache.get(term)
-            if p is None:
-                p = cache[term] = _positions(term)
-            rows.append(p)
-            cols.append(np.full(PROBES, d, np.int64))
+    # Bit slices: one packed bitmap over the block's documents per signature bit. Term
+    # positions are computed once per distinct term; (document, term) pairs are index arrays.
+    vocabulary: dict[str, int] = {}
+    places = np.fromiter((vocabulary.setdefault(t, len(vocabulary)) for c in counts for t in c), np.int64)
+    owners = np.repeat(np.arange(size, dtype=np.int64), [len(c) for c in counts])
     plain = np.zeros((SIGNATURE_BITS, size), bool)
-    if rows:
-        plain[np.concatenate(rows), np.concatenate(cols)] = True
+    if vocabulary:
+        positions = np.stack([_positions(t) for t in vocabulary])
+        plain[positions[places].ravel(), np.repeat(owners, PROBES)] = True
     slices = np.packbits(plain, axis=1)
-    del plain, cache
+    del plain, vocabulary, places, owners
     order_key = [(i is None, i if i is not None else 0) for i in ids]
     possible: dict[str, np.ndarray] = {}
     for item, weights in queries.items():
@@ -175,6 +183,7 @@ def search(
     doc_id: str = "doc_id",
     item_id: str = "item_id",
     text: str = "text",
+    block: int = SIGNATURE_BLOCK,
 ) -> DataFrame:
     """The k highest-scoring documents (score above 0) of every item: item_id, rank, doc_id, score.
 
@@ -192,8 +201,8 @@ def search(
     ordered = per_item.withColumn("upto", F.sum("n").over(Window.orderBy(F.col("item_id").asc_nulls_first())))
     blocks = ordered.select("item_id", (F.floor((F.col("upto") - 1) / BLOCK_TERMS)).cast("bigint").alias("block"))
     found = None
-    for (block,) in blocks.select("block").distinct().orderBy("block").collect():
-        part_ids = blocks.where(F.col("block") == block).select(F.col("item_id").alias("_id"))
+    for (item_block,) in blocks.select("block").distinct().orderBy("block").collect():
+        part_ids = blocks.where(F.col("block") == item_block).select(F.col("item_id").alias("_id"))
         chosen = weights.join(part_ids, weights["item_id"].eqNullSafe(part_ids["_id"]), "left_semi")
         queries: dict = {}
         for row in chosen.toLocalIterator():
@@ -202,7 +211,7 @@ def search(
         def ranked(batches: Iterator[pd.DataFrame], queries=queries) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 ids = [None if pd.isna(i) else int(i) for i in batch["doc_id"]]
-                out = list(_block_top(ids, batch["text"].tolist(), queries, n_docs, n_terms, k))
+                out = list(_block_top(ids, batch["text"].tolist(), queries, n_docs, n_terms, k, block))
                 yield pd.DataFrame(out, columns=["item_id", "doc_id", "score"]).astype({"score": "int64"})
 
         part = body.mapInPandas(ranked, schema)

@@ -50,3 +50,15 @@ def test_empty_tables(spark):
     items = spark.createDataFrame([(1, "a b")], "item_id bigint, text string")
     assert search(docs, items).collect() == []
     assert search(spark.createDataFrame([(1, "a")], "doc_id bigint, text string"), items.limit(0)).collect() == []
+
+
+def test_small_signature_blocks_keep_the_ranking_exact(spark):
+    random.seed(8)
+    vocab = [f"w{k}" for k in range(12)]
+    docs = [(k, " ".join(random.choices(vocab, k=random.randint(0, 12)))) for k in range(120)]
+    docs += [(120, docs[3][1]), (None, docs[3][1])]
+    items = [(1, "w1 w2"), (2, "w3 w4 w5"), (3, "w0")]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(1)
+    i = spark.createDataFrame(items, "item_id bigint, text string")
+    got = sorted((tuple(r) for r in search(d, i, block=7).collect()), key=str)
+    assert got == brute(docs, items)
