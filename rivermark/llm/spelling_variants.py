@@ -160,7 +160,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     freq = {r["gram"]: int(r["freq"]) for r in counts.toLocalIterator()}
     grows = {g for g, f in freq.items() if f > threshold}
     listed = words.select("word").mapInPandas(_listing(grows, freq), "word string, keys array<string>, c int, rest boolean")
-    listed = listed.select("word", F.length("word").alias("len"), "keys", "rest")
+    # Read three times below: listed once, kept in the shared folder.
+    listed = _stored(listed.select("word", F.length("word").alias("len"), "keys", "rest"), "spelling-lists")
     entries = listed.select("word", "len", F.explode("keys").alias("key"))
     probes = entries.select(
         F.col("word").alias("a"), F.explode(F.array(F.col("len") - 1, F.col("len"), F.col("len") + 1)).alias("len"), "key"
@@ -188,8 +189,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
 def spelling_variants(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """word, form, root, n, n_near, form_n for every word (see the module's rules)."""
-    words = words_of(docs, doc_id=doc_id, text=text)
-    pairs = near_pairs(words)
+    # The documents are read and split once; the words and their pairs are each used several times.
+    words = _stored(words_of(docs, doc_id=doc_id, text=text), "spelling-words")
+    pairs = _stored(near_pairs(words), "spelling-pairs")
     n = words.select(F.col("word").alias("other"), F.col("n").alias("other_n"))
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("other")).unionByName(
         pairs.select(F.col("b").alias("word"), F.col("a").alias("other"))
@@ -213,7 +215,7 @@ def with_roots(table: DataFrame) -> DataFrame:
     while True:
         up = step.select(F.col("word").alias("root"), F.col("root").alias("next"))
         moved = step.join(up, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("root").alias("was"))
-        moved = _stored(moved)
+        moved = _stored(moved, "spelling-roots")
         if moved.where(F.col("root") != F.col("was")).isEmpty():
             step = moved.select("word", "root")
             break
@@ -221,7 +223,7 @@ def with_roots(table: DataFrame) -> DataFrame:
     return table.join(step, "word").select("word", "form", "root", F.col("n").cast("bigint").alias("n"), "n_near", "form_n")
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
     from .common import stored
 
-    return stored(df, "spelling-roots")
+    return stored(df, purpose)
