@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import operator
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,51 +24,134 @@ class RangeConflict(RuntimeError):
     """An offset range is stored with other records than those that came now."""
 
 
-def _with_range(rows: DataFrame, topic: str, partition: str, offset: str) -> DataFrame:
-    """Add topic, partition and the offset range that the rows of each take."""
-    named = rows.select("*", F.col(topic).alias("topic"), F.col(partition).alias("partition"))
-    spans = named.groupBy("topic", "partition").agg(
-        F.min(offset).alias("offset_start"), F.max(offset).alias("offset_end")
-    )
-    return named.join(spans, ["topic", "partition"])
+def _exists(spark, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop.Path(path))
+
 
+def _stored_ranges(rows: DataFrame, path: str, fmt: str) -> DataFrame | None:
+    """Stored ranges under ``path`` that overlap the span of the rows in their topic and partition.
 
-def _stored_folders(rows: DataFrame, path: str, keys: list[str]) -> list[str]:
-    """Folders of the rows' ranges that are there already; a row per folder is looked at."""
+    The spans (one row per topic and partition of the batch) become a filter on the range
+    folders, so only folders that overlap the batch are read, and only their folder names.
+    """
     spark = rows.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    wanted = ["/".join([path, *(f"{k}={r[k]}" for k in keys)]) for r in rows.select(*keys).distinct().collect()]
-    return [f for f in wanted if files.exists(hadoop.Path(f))]
+    if not _exists(spark, path):
+        return None
+    spans = rows.groupBy("topic", "partition").agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
+    overlaps = [
+        (F.col("topic") == s["topic"]) & (F.col("partition") == s["partition"])
+        & (F.col("offset_start") <= s["high"]) & (F.col("offset_end") >= s["low"])
+        for s in spans.collect()
+        if s["low"] is not None
+    ]
+    if not overlaps:
+        return None
+    reader = spark.read.format(fmt)
+    if fmt == "json":
+        reader = reader.schema(_stored_schema(rows))
+    return reader.load(path).where(reduce(operator.or_, overlaps)).select(
+        F.col("topic").cast("string").alias("topic"),
+        F.col("partition").cast("int").alias("partition"),
+        F.col("offset_start").cast("long").alias("offset_start"),
+        F.col("offset_end").cast("long").alias("offset_end"),
+    ).distinct()
+
+
+def _place(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Mark rows covered by a stored range and give the others the range of their gap.
+
+    Interval-overlap search: stored ranges and the rows are ordered by offset in each topic and
+    partition; a row is covered when the largest end of the ranges that start at or before it
+    reaches it. Uncovered rows between the same two stored ranges form one new range (its
+    smallest and largest offset), so new ranges never overlap stored ones.
+    """
+    if stored is None:
+        marked = rows.withColumn("covered", F.lit(False)).withColumn("gap", F.lit(None).cast("long"))
+    else:
+        markers = stored.select(
+            "topic", "partition", F.col("offset_start").alias("offset"), F.col("offset_end").alias("_end"),
+            F.lit(0).alias("_kind"),
+        )
+        both = rows.withColumn("_kind", F.lit(1)).unionByName(markers, allowMissingColumns=True)
+        order = Window.partitionBy("topic", "partition").orderBy("offset", "_kind")
+        before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        marked = (
+            both.withColumn("_reach", F.max("_end").over(before))
+            .withColumn("gap", F.min(F.when(F.col("_kind") == 0, F.col("offset"))).over(after))
+            .where(F.col("_kind") == 1)
+            .withColumn("covered", F.coalesce(F.col("_reach") >= F.col("offset"), F.lit(False)))
+            .drop("_kind", "_end", "_reach")
+        )
+    spans = Window.partitionBy("topic", "partition", "gap", "covered")
+    return marked.withColumn("offset_start", F.min("offset").over(spans)).withColumn(
+        "offset_end", F.max("offset").over(spans)
+    )
+
+
+def _new_rows(rows: DataFrame, path: str, fmt: str, identity: list[str], *, check: bool = True) -> DataFrame:
+    """The rows whose offsets no stored range covers, with the range they are stored under.
+
+    With ``check``, covered rows must be stored already with the same content; else ``RangeConflict``.
+    """
+    stored = _stored_ranges(rows, path, fmt)
+    placed = _place(rows, stored)
+    if stored is not None and check:
+        content = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in _content(rows)]).alias("content")
+        spark = rows.sparkSession
+        kept = spark.read.format(fmt).schema(_stored_schema(rows)).load(path)
+        kept = kept.join(stored, ["topic", "partition", "offset_start", "offset_end"], "left_semi")
+        again = placed.where("covered").select(*identity, content)
+        other = again.join(kept.select(*identity, content), [*identity, "content"], "left_anti")
+        found = other.select(*identity).first()
+        if found:
+            raise RangeConflict("stored with other content: " + ":".join(map(str, found)))
+    return placed.where(~F.col("covered")).drop("covered", "gap", "offset")
+
+
+_RANGE = ("topic", "partition", "offset_start", "offset_end", "offset", "entity", "event_date")
+
+
+def _stored_schema(rows: DataFrame) -> T.StructType:
+    """Schema of stored rows: the data columns, then the range folders."""
+    data = [f for f in rows.schema.fields if f.name not in _RANGE]
+    folders = [
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset_start", T.LongType()),
+        T.StructField("offset_end", T.LongType()),
+    ]
+    return T.StructType(data + folders)
+
+
+def _content(rows: DataFrame) -> list[str]:
+    return [c for c in _CONTENT if c in rows.columns] or [c for c in rows.columns if c not in _RANGE]
 
 
 def write_bronze(parsed: DataFrame, path: str) -> None:
     """Bronze rows of one micro-batch, in folders named after their offset ranges.
 
-    A batch that is run again writes the same folders with the same rows. A range that
-    is stored with a record that isn't among the new ones is a ``RangeConflict``, and
-    nothing is written. Rows of a folder come together, and a folder with most of the
-    rows is split over tasks at run time.
+    Offsets that a stored range covers are never written again, however the batches are cut:
+    a replay, a wider batch (0-149 after 0-99) and a narrower one (50-60) store each offset once.
+    A covered offset stored with other content is a ``RangeConflict``, and nothing is written.
+    Rows of a folder come together, and a folder with most of the rows is split over tasks at
+    run time.
     """
     keys = ["entity", "event_date", "topic", "partition", "offset_start", "offset_end"]
     bronze = envelope.bronze_rows(parsed)
-    rows = _with_range(
-        bronze.withColumn("entity", F.col("entity_name")), "kafka_topic", "kafka_partition", "kafka_offset"
+    rows = bronze.select(
+        "*",
+        F.col("entity_name").alias("entity"),
+        F.col("kafka_topic").alias("topic"),
+        F.col("kafka_partition").alias("partition"),
+        F.col("kafka_offset").cast("long").alias("offset"),
     )
-    stored = _stored_folders(rows, path, keys)
-    if stored:
-        identity = ["kafka_topic", "kafka_partition", "kafka_offset"]
-        content = F.xxhash64(*[F.coalesce(F.col(c), F.lit("\x00")) for c in _CONTENT]).alias("content")
-        before = rows.sparkSession.read.schema(bronze.schema).parquet(*stored).select(*identity, content)
-        other = before.join(rows.select(*identity, content), [*identity, "content"], "left_anti")
-        found = other.select(*identity).first()
-        if found:
-            raise RangeConflict("stored with other content: " + ":".join(map(str, found)))
+    new = _new_rows(rows, path, "parquet", ["kafka_topic", "kafka_partition", "kafka_offset"])
     (
-        rows.hint("rebalance", *keys)
+        new.hint("rebalance", *keys)
         .sortWithinPartitions(*keys, "kafka_offset")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("append")
         .partitionBy(*keys)
         .option("compression", "zstd")
         .parquet(path)
@@ -72,15 +159,17 @@ def write_bronze(parsed: DataFrame, path: str) -> None:
 
 
 def write_poison(parsed: DataFrame, path: str, *, consumer_group: str) -> None:
-    """Poison evidence of one micro-batch as JSON lines, by offset range like Bronze."""
+    """Poison evidence of one micro-batch as JSON lines, by offset range like Bronze, each offset once."""
     rows = envelope.poison_rows(parsed, consumer_group=consumer_group)
-    (
-        _with_range(rows, "original_topic", "original_partition", "original_offset")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("topic", "partition", "offset_start", "offset_end")
-        .json(path)
+    rows = rows.select(
+        "*",
+        F.col("original_topic").alias("topic"),
+        F.col("original_partition").alias("partition"),
+        F.col("original_offset").cast("long").alias("offset"),
     )
+    # Evidence carries the time it was taken, so a replay is recognised by its offsets alone.
+    new = _new_rows(rows, path, "json", ["original_topic", "original_partition", "original_offset"], check=False)
+    new.write.mode("append").partitionBy("topic", "partition", "offset_start", "offset_end").json(path)
 
 
 def start_bronze_stream(

@@ -18,7 +18,8 @@ from rivermark.streaming.state import read_snapshot
 AT = datetime(2025, 7, 22, 5, tzinfo=UTC)
 
 
-def record(entity, offset, op="c", key="k1", partition=0, raw=None, **row):
+def record(entity, offset, op="c", key="k1", partition=0, raw=None, at=None, **row):
+    at = offset if at is None else at
     names = {"customers": "customer_id", "accounts": "account_id", "transaction_events": "event_id"}
     name = names[entity]
     body = {name: key, **row}
@@ -27,8 +28,8 @@ def record(entity, offset, op="c", key="k1", partition=0, raw=None, **row):
             "op": op,
             "before": body if op == "d" else None,
             "after": None if op == "d" else body,
-            "source": {"table": entity, "lsn": offset, "txId": 1, "ts_ms": 1753158600000 + offset},
-            "ts_ms": 1753158600000 + offset,
+            "source": {"table": entity, "lsn": at, "txId": 1, "ts_ms": 1753158600000 + at},
+            "ts_ms": 1753158600000 + at,
         }
     }
     text = None if op == "t" else raw or json.dumps(value)
@@ -108,7 +109,7 @@ def test_job_over_two_runs(spark, tmp_path):
         [
             record("customers", 4, op="d", full_name="Ann Lee"),
             record("customers", 5, op="t"),
-            record("customers", 0, key="k2", full_name="Late"),
+            record("customers", 6, key="k2", full_name="Late", at=0),
             record("customers", 9, key="k2", partition=1, full_name="Moved"),
         ],
     )
@@ -118,10 +119,12 @@ def test_job_over_two_runs(spark, tmp_path):
     state = {r["customer_id"]: r for r in output(spark, second, "latest_all").collect()}
     assert state["k1"]["is_deleted"] and state["k1"]["kafka_offset"] == 5
     assert state["k1"]["first_name"] == "Ann"
-    assert state["k2"]["first_name"] == "Bo"
+    # The late change comes at a new offset: Kafka order decides, so it applies; the event
+    # that moved partitions is refused. (Offset 0 again with other content is a RangeConflict.)
+    assert state["k2"]["first_name"] == "Late"
     assert output(spark, second, "current").count() == 1
     codes = [r["error_code"] for r in output(spark, second, "rejections").collect()]
-    assert codes == ["OUT_OF_ORDER_EVENT"] * 2
+    assert codes == ["OUT_OF_ORDER_EVENT"]
 
     forced = run_cdc_silver(
         spark, entity="customers", force=True, **options(tmp_path, at=AT + timedelta(hours=2))
@@ -287,3 +290,36 @@ def test_publishing_twice(spark, tmp_path):
     with pytest.raises(CollisionError):
         publish(rows.where("n = 1"), **where)
     assert "status" in RUN_LEDGER.fieldNames()
+
+
+def test_overlapping_ranges_store_each_offset_once(spark, tmp_path):
+    def start(name, offsets, poison=()):
+        records = [record("customers", n, key=f"k{n}", full_name="A") for n in offsets]
+        records += [record("customers", n, raw="?") for n in poison]
+        feed(spark, tmp_path / name, records)
+        start_bronze_stream(
+            file_stream(spark, str(tmp_path / name), max_files=1),
+            bronze_path=str(tmp_path / "bronze"),
+            quarantine_path=str(tmp_path / "quarantine"),
+            checkpoint=str(tmp_path / f"{name}-checkpoint"),
+        ).awaitTermination()
+
+    start("one", range(0, 100), poison=[200])
+    start("two", range(0, 150), poison=[200, 201])
+    start("three", range(50, 61))
+    start("four", list(range(140, 170)) + [300])
+    stored = spark.read.parquet(str(tmp_path / "bronze"))
+    offsets = sorted(r["kafka_offset"] for r in stored.select("kafka_offset").collect())
+    assert offsets == list(range(0, 170)) + [300]
+    ranges = sorted(tuple(r) for r in stored.select("offset_start", "offset_end").distinct().collect())
+    assert ranges == [(0, 99), (100, 149), (150, 300)]
+    poison = sorted(r["original_offset"] for r in spark.read.json(str(tmp_path / "quarantine")).collect())
+    assert poison == [200, 201]
+    with pytest.raises(Exception, match="stored with other content"):
+        feed(spark, tmp_path / "five", [record("customers", 60, key="k60", full_name="B")])
+        start_bronze_stream(
+            file_stream(spark, str(tmp_path / "five"), max_files=1),
+            bronze_path=str(tmp_path / "bronze"),
+            quarantine_path=str(tmp_path / "quarantine"),
+            checkpoint=str(tmp_path / "five-checkpoint"),
+        ).awaitTermination()
