@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import normalize
 from ..operators.envelope import BRONZE_VERSION, bronze_rows, parse_envelopes
@@ -56,6 +57,44 @@ def stream_bronze(spark, sf_dir):
     )
 
 
+@query(
+    "stream_bronze_ranges",
+    with_ctes(
+        "d_wire",
+        body=f"""SELECT kafka_partition, MIN(kafka_offset) AS offset_start, MAX(kafka_offset) AS offset_end,
+  COUNT(*) AS n_rows, COUNT(DISTINCT kafka_offset) AS n_offsets
+FROM ({_HISTORY}) h
+GROUP BY kafka_partition, kafka_offset > (SELECT (MIN(event_id) + MAX(event_id)) // 2 FROM events)""",
+    ),
+)
+def stream_bronze_ranges(spark, sf_dir):
+    """Offset ranges of Bronze after batches that overlap: each offset is stored once.
+
+    Three streams with their own checkpoints write one Bronze folder: the records up to the
+    middle offset, then all records (the lower half is covered, the upper half is new), then
+    all records again (a replay: nothing is new). Result: rows and distinct offsets per range.
+    """
+    root = shared_dir(spark, "stream-bronze-ranges")
+    span = derived.table(spark, sf_dir, "events").agg(F.min("event_id"), F.max("event_id")).first()
+    cut = (span[0] + span[1]) // 2 if span[0] is not None else 0
+    for name, wire in [
+        ("lower", _wire_stream(spark, sf_dir).where(F.col("offset") <= cut)),
+        ("all", _wire_stream(spark, sf_dir)),
+        ("replay", _wire_stream(spark, sf_dir)),
+    ]:
+        start_bronze_stream(
+            wire,
+            bronze_path=f"{root}/bronze",
+            quarantine_path=f"{root}/quarantine",
+            checkpoint=f"{root}/checkpoint-{name}",
+        ).awaitTermination()
+    ranges = [T.StructField("offset_start", T.LongType()), T.StructField("offset_end", T.LongType())]
+    rows = spark.read.schema(T.StructType(CDC_BRONZE.fields + ranges)).parquet(f"{root}/bronze")
+    return rows.groupBy("kafka_partition", "offset_start", "offset_end").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("kafka_offset").alias("n_offsets")
+    )
+
+
 def _project(batch: DataFrame) -> DataFrame:
     bronze = bronze_rows(
         parse_envelopes(batch, ingested_at=RUN_AT, schema_version=BRONZE_VERSION)
