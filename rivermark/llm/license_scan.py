@@ -17,6 +17,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.barrier import computed
 from .common import BROADCAST_BYTES, lower_ascii, row_key
 
 # Known texts by licence; fixed values.
@@ -224,25 +225,31 @@ def scan_licenses(
         spark.range(1).select(F.lit(None).cast("string").alias("license"), F.lit("").alias("digest"))
     )
     small = (facts["bytes"] or 0) <= broadcast_bytes
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        row_key(F.col(doc_id), F.col(text)).alias("key"),
-        canonical_lines(F.col(text)).alias("lines"),
-    ).withColumn("whole", _flat(F.col("lines")))
-    parts = F.array_distinct(
-        F.concat(F.array("whole"), F.split("lines", GAPS), F.split("lines", r"\n"), F.array(F.lit("")))
+    rows = computed(
+        docs.select(F.col(doc_id).alias("doc_id"), row_key(F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("_text")),
+        ["doc_id", "key"],
+        lines=canonical_lines(F.col("_text")),
     )
-    # Equal digests have equal lengths, so other units aren't hashed. The empty unit is
-    # each document's own row.
-    unit = F.trim(F.regexp_replace("part", r"[ \n]+", " "))
-    fits = F.length("part") >= F.lit(facts["least"] or 0)
-    lengths = facts["lengths"]
+    # Each paragraph and line is made single-spaced once, inside the array, before the explode;
+    # the whole text comes as one more unit with a flag. Equal digests have equal lengths, so
+    # other units aren't hashed. The empty unit (flag false) is each document's own row.
+    cleaned = F.array_distinct(
+        F.transform(F.concat(F.split("lines", GAPS), F.split("lines", r"\n")), lambda part: _flat(part))
+    )
+    units = F.array_distinct(
+        F.concat(
+            F.array(F.struct(_flat(F.col("lines")).alias("unit"), F.lit(True).alias("is_whole"))),
+            F.transform(cleaned, lambda u: F.struct(u.alias("unit"), F.lit(False).alias("is_whole"))),
+            F.array(F.struct(F.lit("").alias("unit"), F.lit(False).alias("is_whole"))),
+        )
+    )
+    unit, lengths = F.col("u.unit"), facts["lengths"]
     possible = F.length(unit).between(F.lit(facts["least"] or 0), F.lit(facts["most"] or -1))
     if 0 < len(lengths) <= LENGTHS:
         possible &= F.length(unit).isin(lengths)
-    digest = F.when(F.col("part") == "", F.lit("")).when(fits & possible, F.md5(unit))
-    found = rows.select("doc_id", "key", "whole", F.explode(parts).alias("part")).select(
-        "doc_id", "key", (F.trim("part") == F.col("whole")).alias("is_whole"), digest.alias("digest")
+    digest = F.when(unit == "", F.when(~F.col("u.is_whole"), F.lit(""))).when(possible, F.md5(unit))
+    found = rows.select("doc_id", "key", F.explode(units).alias("u")).select(
+        "doc_id", "key", F.col("u.is_whole").alias("is_whole"), digest.alias("digest")
     )
     hits = found.join(F.broadcast(digests) if small else digests, "digest")
     named = F.col("license").isNotNull()
