@@ -40,7 +40,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, UPPER, lower_ascii
+from ..functions.barrier import computed
+from .common import BROADCAST_BYTES, UPPER, lower_ascii, stored
 
 #: Characters that are not part of a term; fixed values.
 NOT_TERM = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -158,21 +159,45 @@ def _terms(text_col: str):
 
 
 def query_weights(docs: DataFrame, items: DataFrame, *, id_col: str = "item_id", text: str = "text") -> tuple[DataFrame, int, int]:
-    """(item_id, term, w) for the distinct terms of each item, with N and L of the documents."""
-    sized = docs.select(F.size(_terms(text)).cast("bigint").alias("n"))
-    totals = sized.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.sum("n").alias("L")).first()
-    n_docs, n_terms = int(totals["N"] or 0), int(totals["L"] or 0)
+    """(item_id, term, w) for the distinct terms of each item, with N and L of the documents.
+
+    Where the query vocabulary is small enough to broadcast, N, L and every df come from one
+    pass over the documents: each document adds a row without a term that carries its size.
+    Else N and L take a pass of their own and df a shuffle of all postings.
+    """
     wanted = items.select(F.col(id_col).alias("item_id"), F.explode(_terms(text)).alias("term")).distinct()
     vocabulary = wanted.select("term").distinct()
-    held = docs.select(F.explode(F.array_distinct(_terms(text))).alias("term"))
-    # The query vocabulary filters the postings map-side when it is small enough to broadcast.
     size = vocabulary.agg(F.sum(F.length("term") + 48)).first()[0] or 0
     if size <= BROADCAST_BYTES:
-        held = held.join(F.broadcast(vocabulary), "term", "left_semi")
-    df = held.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        split = computed(docs.select(F.col(text).alias("_text")), [], terms=_terms("_text"))
+        marks = split.select(
+            F.size("terms").cast("bigint").alias("n"),
+            F.explode(F.concat(F.array(F.lit(None).cast("string")), F.array_distinct("terms"))).alias("term"),
+        )
+        asked = F.broadcast(vocabulary.withColumn("_asked", F.lit(True)))
+        counted = (
+            marks.join(asked, "term", "left")
+            .where(F.col("term").isNull() | F.col("_asked"))
+            .groupBy("term")
+            .agg(
+                F.count(F.lit(1)).alias("df"),
+                F.count(F.when(F.col("n") > 0, 1)).alias("N"),
+                F.sum("n").alias("L"),
+            )
+        )
+        counted = stored(counted, "lexical-df")
+        totals = counted.where(F.col("term").isNull()).first()
+        df = counted.where(F.col("term").isNotNull()).select("term", "df")
+    else:
+        sized = docs.select(F.size(_terms(text)).cast("bigint").alias("n"))
+        totals = sized.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.sum("n").alias("L")).first()
+        held = docs.select(F.explode(F.array_distinct(_terms(text))).alias("term"))
+        df = held.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    n_docs = int(totals["N"] or 0) if totals else 0
+    n_terms = int(totals["L"] or 0) if totals else 0
     weight = F.floor(F.lit(1000.0) * F.log((2.0 * n_docs + 2.0) / (2.0 * F.col("df") + 1.0))).cast("bigint")
     weights = wanted.join(df, "term").select("item_id", "term", weight.alias("w"))
-    return weights, n_docs, n_terms
+    return stored(weights, "lexical-weights"), n_docs, n_terms
 
 
 def search(
