@@ -11,7 +11,7 @@ from ..operators.envelope import BRONZE_VERSION, bronze_rows, parse_envelopes
 from ..schemas import BUSINESS_KEYS, CDC_BRONZE, entity_schema
 from ..session import shared_dir
 from ..streaming import start_bronze_stream, start_state_stream, without_replays
-from ..streaming.state import snapshot_path
+from ..streaming.state import newest_version, snapshot_path
 from . import derived
 from .catalog_events import _ACCOUNT_STATE, _HISTORY, RUN_AT, _account_columns
 from .derived import with_ctes
@@ -119,10 +119,9 @@ def stream_current_state(spark, sf_dir):
         prepare=_project,
     )
     stream.awaitTermination()
-    last = stream.lastProgress["batchId"] + 1
     assert BUSINESS_KEYS["accounts"] == "account_id"
     rows = spark.read.schema(entity_schema("accounts")).parquet(
-        snapshot_path(f"{root}/state", last)
+        snapshot_path(f"{root}/state", newest_version(spark, f"{root}/state"))
     )
     return _account_columns(rows)
 

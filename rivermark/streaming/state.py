@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,16 +33,43 @@ def rejections_path(root: str, version: int) -> str:
     return f"{root}/rejections/version={version:012d}"
 
 
-def read_snapshot(spark: SparkSession, root: str, entity: str, before: int) -> DataFrame | None:
-    """The newest complete snapshot of an earlier version."""
+def _stored_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions with a complete snapshot, oldest first."""
     hadoop = spark._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(root)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     found = files.globStatus(hadoop.Path(f"{root}/version=*/_SUCCESS")) or []
-    versions = sorted(
-        int(status.getPath().getParent().getName().split("=")[1]) for status in found
-    )
-    older = [v for v in versions if v < before]
+    return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
+
+
+def newest_version(spark: SparkSession, root: str) -> int:
+    """The newest complete version, 0 when there is none."""
+    return max(_stored_versions(spark, root), default=0)
+
+
+def batch_version(spark: SparkSession, root: str, checkpoint: str, batch_id: int) -> int:
+    """The version a micro-batch writes: the newest stored + 1, remembered per checkpoint and batch.
+
+    A batch that runs again (same checkpoint, same number) keeps its version and overwrites it;
+    a new checkpoint goes on after the newest snapshot instead of starting again at 1.
+    The record is an empty folder ``_batches/<checkpoint digest>/batch=N/version=V`` below ``root``.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    key = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:20]
+    folder = hadoop.Path(f"{root}/_batches/{key}/batch={batch_id:012d}")
+    if files.exists(folder):
+        kept = [s.getPath().getName() for s in files.listStatus(folder)]
+        known = [int(name.split("=")[1]) for name in kept if name.startswith("version=")]
+        if known:
+            return max(known)
+    version = newest_version(spark, root) + 1
+    files.mkdirs(hadoop.Path(f"{root}/_batches/{key}/batch={batch_id:012d}/version={version:012d}"))
+    return version
+
+
+def read_snapshot(spark: SparkSession, root: str, entity: str, before: int) -> DataFrame | None:
+    """The newest complete snapshot of an earlier version."""
+    older = [v for v in _stored_versions(spark, root) if v < before]
     if not older:
         return None
     return spark.read.schema(entity_schema(entity)).parquet(snapshot_path(root, older[-1]))
@@ -52,7 +80,7 @@ def fold_batch(
 ) -> DataFrame:
     """Fold projected events into the snapshot before ``version`` and write the next.
 
-    The version is the micro-batch number, so running a batch again reads the same
+    ``version`` comes from ``batch_version``, so running a batch again reads the same
     base and overwrites the same folders. Events that are refused or repeated are
     written beside it.
     """
@@ -88,7 +116,8 @@ def start_state_stream(
     configure(records.sparkSession)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fold_batch(prepare(batch), root, entity, batch_id + 1)
+        version = batch_version(batch.sparkSession, root, checkpoint, batch_id)
+        fold_batch(prepare(batch), root, entity, version)
 
     trigger = {"availableNow": True} if once else {"processingTime": "15 minutes"}
     return (

@@ -262,6 +262,25 @@ def test_state_stream_equals_batch_and_survives_replay(spark, tmp_path):
     assert fingerprint(rows.select("customer_id", "kafka_offset")).first() == before
 
 
+def test_state_stream_goes_on_after_a_new_checkpoint(spark, tmp_path):
+    def start(folder, checkpoint, records):
+        feed(spark, tmp_path / folder, records)
+        start_state_stream(
+            file_stream(spark, str(tmp_path / folder), max_files=1),
+            root=str(tmp_path / "state"),
+            entity="customers",
+            checkpoint=str(tmp_path / checkpoint),
+            prepare=project,
+        ).awaitTermination()
+
+    start("one", "checkpoint-one", [record("customers", n, key=f"k{n}", full_name=f"N{n}") for n in range(15)])
+    start("two", "checkpoint-two", [record("customers", n, key=f"k{n}", full_name=f"N{n}") for n in range(15, 19)])
+    rows = read_snapshot(spark, str(tmp_path / "state"), "customers", 10**9)
+    assert sorted(r["customer_id"] for r in rows.collect()) == sorted(f"k{n}" for n in range(19))
+    versions = sorted(p.name for p in (tmp_path / "state").glob("version=*"))
+    assert versions == ["version=000000000001", "version=000000000002"]
+
+
 def test_state_stream_keeps_what_it_refuses(spark, tmp_path):
     for records in (
         [record("customers", 5, full_name="A")],
