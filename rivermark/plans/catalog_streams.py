@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..operators import normalize
 from ..operators.envelope import BRONZE_VERSION, bronze_rows, parse_envelopes
 from ..schemas import BUSINESS_KEYS, CDC_BRONZE, entity_schema
-from ..session import shared_dir
+from ..session import shared_dir, spread_tasks
 from ..streaming import start_bronze_stream, start_state_stream, without_replays
 from ..streaming.state import newest_version, snapshot_path
 from . import derived
@@ -25,7 +25,9 @@ def _events_stream(spark, sf_dir, **options) -> DataFrame:
 
 
 def _wire_stream(spark, sf_dir) -> DataFrame:
-    return derived.wire_columns(_events_stream(spark, sf_dir))
+    """Records of the stream in even tasks; the narrow table rows are what is moved."""
+    tasks = spread_tasks(derived.table(spark, sf_dir, "events"))
+    return derived.wire_columns(_events_stream(spark, sf_dir).repartition(tasks))
 
 
 @query(

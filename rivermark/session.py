@@ -22,6 +22,8 @@ _PLANNING = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # HotSpot never compiles a larger method, so a larger stage would be interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # For the session builder only: recording the call site of every column costs more
@@ -40,13 +42,38 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give costly row work all cores when a source has fewer splits than cores.
+# Bytes of compressed source files that one task of costly row work gets at most.
+_SPREAD_BYTES = 2 << 20
+# Tasks at most: 20 GB of files, then tasks grow.
+_SPREAD_TASKS = 10_000
 
-    Sources of cluster size have more splits than that and pass unchanged.
+
+def spread(df: DataFrame, *, even: bool = False) -> DataFrame:
+    """Give costly row work small, even tasks, however few splits or row groups a source has.
+
+    A split that Spark cuts out of a Parquet file is empty unless a row group begins in
+    it, so splits say nothing about rows. Tasks are as many as cores at least, and grow
+    with the source's size. Splits of ``even`` files, such as Spark's own, do as they are
+    unless there are fewer than cores.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if even:
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(spread_tasks(df))
+
+
+def spread_tasks(df: DataFrame) -> int:
+    """How many tasks ``spread`` makes of a source."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(cores, min(-(-size // _SPREAD_BYTES), _SPREAD_TASKS))
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table that is read more than once to the shared folder and reread it."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:

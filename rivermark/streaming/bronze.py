@@ -5,13 +5,17 @@ from __future__ import annotations
 import operator
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import envelope
-from ..session import configure
+from ..session import configure, spread
 
 # Fixed value: seconds between micro-batches unless told otherwise.
 FLUSH_SECONDS = 5
@@ -58,36 +62,58 @@ def _stored_ranges(rows: DataFrame, path: str, fmt: str) -> DataFrame | None:
     ).distinct()
 
 
+# What tells apart the new ranges of a batch.
+_GAP = ("topic", "partition", "gap", "covered")
+
+
+def _search(stored: DataFrame):
+    """Function of topic, partition and offset: whether a stored range covers it, and the start
+    of the next range after it. The ranges that the batch overlaps go to every task, as Spark's
+    listing of their folders does."""
+    ranges: dict = {}
+    for r in stored.orderBy("offset_start").collect():
+        starts, ends = ranges.setdefault((r["topic"], r["partition"]), ([], []))
+        starts.append(r["offset_start"])
+        ends.append(r["offset_end"])
+    ordered = {k: (np.array(s), np.maximum.accumulate(e)) for k, (s, e) in ranges.items()}
+
+    @F.arrow_udf("struct<covered: boolean, gap: bigint>")
+    def search(topic: pa.Array, partition: pa.Array, offset: pa.Array) -> pa.Array:
+        at = pc.fill_null(offset, -(1 << 62)).to_numpy(zero_copy_only=False)
+        covered, gap = np.zeros(len(at), bool), np.zeros(len(at), np.int64)
+        known = np.zeros(len(at), bool)
+        for (t, p), (starts, reach) in ordered.items():
+            mine = pc.fill_null(pc.and_(pc.equal(topic, t), pc.equal(partition, p)), False)
+            mine = np.flatnonzero(mine.to_numpy(zero_copy_only=False))
+            after = np.searchsorted(starts, at[mine], "right")
+            covered[mine] = (after > 0) & (reach[after - 1] >= at[mine])
+            known[mine] = after < len(starts)
+            gap[mine] = starts[np.minimum(after, len(starts) - 1)]
+        return pa.StructArray.from_arrays([pa.array(covered), pa.array(gap, mask=~known)], ["covered", "gap"])
+
+    return search
+
+
 def _place(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Mark rows covered by a stored range and give the others the range of their gap.
 
-    Interval-overlap search: stored ranges and the rows are ordered by offset in each topic and
-    partition; a row is covered when the largest end of the ranges that start at or before it
+    A row is covered when the largest end of the stored ranges that start at or before it
     reaches it. Uncovered rows between the same two stored ranges form one new range (its
-    smallest and largest offset), so new ranges never overlap stored ones.
+    smallest and largest offset), so new ranges never overlap stored ones. The ends of the
+    new ranges, a row per range, are broadcast; the rows stay where they are.
     """
     if stored is None:
         marked = rows.withColumn("covered", F.lit(False)).withColumn("gap", F.lit(None).cast("long"))
     else:
-        markers = stored.select(
-            "topic", "partition", F.col("offset_start").alias("offset"), F.col("offset_end").alias("_end"),
-            F.lit(0).alias("_kind"),
-        )
-        both = rows.withColumn("_kind", F.lit(1)).unionByName(markers, allowMissingColumns=True)
-        order = Window.partitionBy("topic", "partition").orderBy("offset", "_kind")
-        before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        marked = (
-            both.withColumn("_reach", F.max("_end").over(before))
-            .withColumn("gap", F.min(F.when(F.col("_kind") == 0, F.col("offset"))).over(after))
-            .where(F.col("_kind") == 1)
-            .withColumn("covered", F.coalesce(F.col("_reach") >= F.col("offset"), F.lit(False)))
-            .drop("_kind", "_end", "_reach")
-        )
-    spans = Window.partitionBy("topic", "partition", "gap", "covered")
-    return marked.withColumn("offset_start", F.min("offset").over(spans)).withColumn(
-        "offset_end", F.max("offset").over(spans)
+        found = rows.withColumn("_found", _search(stored)("topic", "partition", "offset"))
+        marked = found.select(*rows.columns, "_found.covered", "_found.gap")
+    spans = (
+        marked.groupBy("topic", "partition", "gap", "covered")
+        .agg(F.min("offset").alias("offset_start"), F.max("offset").alias("offset_end"))
+        .withColumnsRenamed({k: f"_{k}" for k in _GAP})
     )
+    same = reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in _GAP])
+    return marked.join(F.broadcast(spans), same, "left").drop(*[f"_{k}" for k in _GAP])
 
 
 def _new_rows(rows: DataFrame, path: str, fmt: str, identity: list[str], *, check: bool = True) -> DataFrame:
@@ -189,9 +215,13 @@ def start_bronze_stream(
     configure(records.sparkSession)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = envelope.parse_envelopes(batch)
-        write_poison(parsed, quarantine_path, consumer_group=consumer_group)
-        write_bronze(parsed, bronze_path)
+        # Parsed once, on all cores, for both outputs and their searches.
+        parsed = envelope.parse_envelopes(spread(batch, even=True)).persist(StorageLevel.DISK_ONLY)
+        try:
+            write_poison(parsed, quarantine_path, consumer_group=consumer_group)
+            write_bronze(parsed, bronze_path)
+        finally:
+            parsed.unpersist()
 
     writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": f"{every_seconds} seconds"}
