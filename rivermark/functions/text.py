@@ -51,7 +51,9 @@ SAFE_METADATA_FIELDS = (
 
 def clean(text: Column) -> Column:
     """Text without surrounding white space; NULL becomes empty."""
-    return F.coalesce(F.btrim(text, F.lit(_BLANKS)), F.lit(""))
+    # Searching the blanks is slow; ends that are visible ASCII need none of it.
+    bare = F.ascii(text).between(33, 126) & F.ascii(F.substring(text, -1, 1)).between(33, 126)
+    return F.when(bare, text).otherwise(F.coalesce(F.btrim(text, F.lit(_BLANKS)), F.lit("")))
 
 
 def first_name(full_name: Column) -> Column:

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..schemas import MONEY, SETTLEMENT
+from ..session import stored
 from .contract import Contract, Field
-from .dedup import mark_repeats
 from .quality import rejection_rows, settlement_quality_code
 
 _UUID = r"^[0-9a-fA-F]{32}$"
@@ -29,6 +30,16 @@ def _like(pattern: str | None) -> str:
     return _text((pattern or "").replace("\\", "\\\\"))
 
 
+# Bytes a repeated key takes where it is broadcast, and how many may be.
+_KEY_BYTES = 128
+_BROADCAST_BYTES = 64 << 20
+
+
+def _digest(*columns: Column | str) -> Column:
+    """SHA-256 of the columns' JSON, as 32 bytes."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256))
+
+
 def mark_file_duplicates(
     rows: DataFrame, contract: Contract, *, file: Sequence[str] = ("source_file_name",)
 ) -> DataFrame:
@@ -37,16 +48,33 @@ def mark_file_duplicates(
     The first row in file order is never a duplicate, whether it is valid or not.
     An identical row is only called a duplicate row.
     """
-    raw = F.to_json(F.struct(*contract.names), {"ignoreNullFields": "false"})
-    keyed = rows.withColumn("_print", F.sha2(raw, 256)).withColumn(
-        "_reference", F.nullif(fn.clean(F.col("settlement_reference")), F.lit(""))
+    named = F.nullif(fn.clean(F.col("settlement_reference")), F.lit(""))
+    in_file = reduce(Column.__and__, [F.col(f).isNotNull() for f in file])
+    keyed = rows.withColumns(
+        {
+            "_row": F.when(in_file, _digest(*file, *contract.names)),
+            "_named": F.when(in_file & named.isNotNull(), _digest(*file, named)),
+        }
+    )
+    # Two keys per row, counted in one exchange; only those that come twice are kept.
+    keys = keyed.select(F.explode(F.array("_row", "_named")).alias("_key"), "source_row_number")
+    repeated = stored(
+        keys.where("_key IS NOT NULL")
+        .groupBy("_key")
+        .agg(F.count(F.lit(1)).alias("_copies"), F.min("source_row_number").alias("_first"))
+        .where("_copies > 1")
+        .drop("_copies"),
+        "settle-repeated",
+    )
+    small = repeated.count() * _KEY_BYTES <= _BROADCAST_BYTES
+    for key, name in (("_row", "duplicate_row"), ("_named", "_again")):
+        first = repeated.withColumnsRenamed({"_key": key, "_first": f"_first{key}"})
+        keyed = keyed.join(F.broadcast(first) if small else first, key, "left").withColumn(
+            name, F.coalesce(F.col("source_row_number") > F.col(f"_first{key}"), F.lit(False))
+        )
+    return keyed.withColumn("duplicate_reference", F.col("_again") & ~F.col("duplicate_row")).select(
+        *rows.columns, "duplicate_row", "duplicate_reference"
     )
-    place = F.struct("source_row_number")
-    same = mark_repeats(keyed, keys=[*file, "_print"], order=place, name="duplicate_row")
-    named = mark_repeats(same, keys=[*file, "_reference"], order=place, name="_named")
-    return named.withColumn(
-        "duplicate_reference", F.col("_named") & ~F.col("duplicate_row")
-    ).drop("_print", "_reference", "_named")
 
 
 def _presence_rules(contract: Contract) -> list[Rule]:
@@ -136,11 +164,7 @@ def validate_rows(rows: DataFrame, contract: Contract) -> DataFrame:
         rows.columns,
         _text=F.struct(*[fn.clean(F.col(n)).alias(n) for n in contract.names]),
     )
-    checked = fn.computed(
-        trimmed,
-        trimmed.columns,
-        _problem=F.struct(*[_decimal_problem(contract[n]).alias(n) for n in amounts]),
-    )
+    problem = {n: _decimal_problem(contract[n]) for n in amounts}
     text = {n: F.col(f"_text.{n}") for n in contract.names}
     day = F.when(
         text["settlement_date"].rlike(r"^\d{4}-\d{2}-\d{2}$"),
@@ -164,21 +188,16 @@ def validate_rows(rows: DataFrame, contract: Contract) -> DataFrame:
         "internal_transaction_id": uuid,
         "transaction_timestamp": zoned,
         **{
-            n: F.when(F.col(f"_problem.{n}").isNull(), text[n].try_cast(MONEY)) for n in amounts
+            n: F.when(problem[n].isNull(), text[n].try_cast(MONEY)) for n in amounts
         },
     }
+    # One layer, as each copies the row; its projection shares the common parts.
     typed = fn.computed(
-        checked,
-        checked.columns,
+        trimmed,
+        trimmed.columns,
+        _problem=F.struct(*[problem[n].alias(n) for n in amounts]),
         typed=F.struct(*[made[n].alias(n) for n in contract.names]),
-    )
-    naive = fn.computed(
-        typed,
-        typed.columns,
-        _any_clock=F.when(
-            F.col("typed.transaction_timestamp").isNull(),
-            fn.iso_timestamp(text["transaction_timestamp"]),
-        ),
+        _any_clock=F.when(zoned.isNull(), fn.iso_timestamp(text["transaction_timestamp"])),
     )
     statuses = contract["settlement_status"].allowed_values
     allowed = ", ".join(_text(x) for x in statuses)
@@ -254,8 +273,10 @@ def validate_rows(rows: DataFrame, contract: Contract) -> DataFrame:
         f"CASE WHEN {test} THEN named_struct('code', {_text(code)}, 'message', {_text(message)}) END"
         for code, test, message in rules
     )
-    found = F.expr(f"array_compact(array({cases}))")
-    judged = fn.computed(naive, [*rows.columns, "typed"], _found=found)
+    # Rules that hold leave NULL, which joining passes over. Dropping it here would take the
+    # tests out of generated code.
+    found = F.expr(f"array({cases})")
+    judged = fn.computed(typed, [*rows.columns, "typed"], _found=found)
     codes = F.array_join(F.array_distinct(F.col("_found.code")), "|")
     messages = F.array_join(F.col("_found.message"), "; ")
     return judged.select(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import scan
-from ..session import configure, spread
+from ..session import configure, spread, stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -230,24 +230,32 @@ SQL["d_settle"] = (
 
 
 def settle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Settlement rows as text, one file per partner and day, faults included."""
-    lines = spread(table(spark, sf_dir, "lineitem"))
-    rows = lines.selectExpr(
-        *[f"{e.format(text='STRING')} AS {n}" for n, e in _SETTLE.items()],
-        f"{_file_name('STRING')} AS source_file_name",
-        f"{_FILE_PARTNER.format(text='STRING')} AS file_partner_id",
-        "CAST(l_shipdate AS DATE) AS file_settlement_date",
-        *_LINE_ORDER.split(", "),
-    ).withColumn("_piece", scan.piece("l_orderkey"))
+    """Settlement rows as text, one file per partner and day, faults included.
+
+    Lines are numbered before their texts are made, so that only the table's own
+    columns are shuffled, and the numbered lines are stored for all their reads.
+    """
+    order = _LINE_ORDER.split(", ")
+    lines = table(spark, sf_dir, "lineitem").select(
+        *order,
+        (F.col("l_suppkey") % 10).alias("_partner"),
+        F.col("l_shipdate").cast("date").alias("file_settlement_date"),
+        scan.piece("l_orderkey").alias("_piece"),
+    )
     numbered = scan.row_number(
-        rows,
-        groups=["source_file_name"],
+        lines,
+        groups=["_partner", "file_settlement_date"],
         levels=["_piece"],
-        order=_LINE_ORDER.split(", "),
+        order=order,
         name="source_row_number",
     )
-    return numbered.withColumn("source_row_number", F.col("source_row_number") + 1).drop(
-        "_piece", *_LINE_ORDER.split(", ")
+    kept = spread(stored(numbered.drop("_partner", "_piece"), "settle"), even=True)
+    return kept.selectExpr(
+        *[f"{e.format(text='STRING')} AS {n}" for n, e in _SETTLE.items()],
+        f"{_file_name('STRING')} AS source_file_name",
+        f"{_FILE_PARTNER.format(text='STRING')} AS file_partner_id",
+        "file_settlement_date",
+        "source_row_number + 1 AS source_row_number",
     )
 
 
