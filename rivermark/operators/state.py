@@ -21,6 +21,18 @@ _PRECEDES = "CDC event precedes the published entity state"
 
 _KEYS = ("business_key", "kafka_topic")
 
+# What deciding and merging read of projected events.
+EVENT_COLUMNS = tuple(
+    dict.fromkeys(
+        [
+            *("event_id", "business_key", "kafka_topic", "kafka_partition", "kafka_offset", "is_tombstone"),
+            *("event_time", "source_lsn", "source_ts", "connector_ts", "ingested_at"),
+            *("state", "projection_code", "projection_message"),
+            *[n for n in LINEAGE_NAMES if n != "effective_event_time"],
+        ]
+    )
+)
+
 
 def _place():
     return F.struct("kafka_partition", "kafka_offset")

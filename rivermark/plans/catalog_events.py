@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..operators import batching, dedup, envelope, normalize, quality, references, state
+from ..session import stored
 from . import derived
 from .derived import with_ctes
 from .registry import query
@@ -149,8 +150,12 @@ FROM z JOIN h p ON p.kafka_offset = z.payload_at WHERE z.newest = 1"""
 
 
 def account_state(spark, sf_dir) -> DataFrame:
-    """Raw records to the latest row of every account."""
+    """Raw records to the latest row of every account.
+
+    Deciding reads the projected events twice; they are parsed once and stored.
+    """
     projected = normalize.project_entity(history(spark, sf_dir), "accounts")
+    projected = stored(projected.select(*state.EVENT_COLUMNS), "accounts")
     decided = state.decide_events(projected)
     return state.merge_state(decided.where("decision = 'APPLY'"), None, "accounts")
 
