@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import dedup, state
 from ..schemas import BUSINESS_KEYS, entity_schema
-from ..session import configure
+from ..session import configure, spread, stored
 
 
 def without_replays(events: DataFrame) -> DataFrame:
@@ -86,6 +86,8 @@ def fold_batch(
     """
     spark = events.sparkSession
     base = read_snapshot(spark, root, entity, version)
+    # Parsed once: the searches and both outputs below read the stored events.
+    events = stored(events.select(*dict.fromkeys([*state.EVENT_COLUMNS, *tie])), "state-batch")
     marked = dedup.mark_duplicates(events, tie=tie)
     fresh = marked.where(marked.duplicate_code.isNull()).drop("duplicate_code")
     decided = state.decide_events(fresh, base, key=BUSINESS_KEYS[entity])
@@ -117,7 +119,7 @@ def start_state_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         version = batch_version(batch.sparkSession, root, checkpoint, batch_id)
-        fold_batch(prepare(batch), root, entity, version)
+        fold_batch(prepare(spread(batch, even=True)), root, entity, version)
 
     trigger = {"availableNow": True} if once else {"processingTime": "15 minutes"}
     return (
