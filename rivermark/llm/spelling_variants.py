@@ -17,10 +17,13 @@ The method (variable-length grams):
   gram and, for grams shorter than QMAX, the next code point). The largest number of grams one
   insertion, deletion or replacement can change is the word's bound NAG; a word one edit away
   keeps at least c = |grams| - NAG of its grams.
-* List merging by prefixes: grams are ordered globally by rarity; a word is listed under its
-  NAG + 1 rarest grams (repeated grams counted apart), so two words one edit apart share a listed
-  gram (prefix filtering), within one code point of length. Pairs that share a listed gram are
-  verified exactly with an edit distance.
+* List merging by prefixes: grams are ordered globally by rarity, then by position; a word is
+  listed under its NAG + 1 rarest grams with their positions. One edit aligns the positions of
+  two words in order, and their aligned equal grams are at least |grams| - NAG of either word; the
+  first of these in the order is listed by both. So two words one edit apart share a listed gram,
+  at the same position where they are as long, at the same or the next position of the longer
+  one where it has a code point more. Pairs that share one so are verified exactly with an edit
+  distance, before they are shuffled.
 * The rest: where both words have c <= 0 the count filter says nothing, so those words are
   also matched exactly by their one-deletion variants.
 
@@ -131,25 +134,43 @@ def affected_bound(word: str, grams: list[tuple[int, str]]) -> int:
 def _listing(grows: set, freq: dict):
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, kept, rest = [], [], []
+            texts, places, rest = [], [], []
             for word in batch["word"]:
                 grams = decompose(word, grows)
                 bound = affected_bound(word, grams)
-                seen: dict[str, int] = {}
-                elements = []
-                for _, g in grams:
-                    k = seen.get(g, 0)
-                    seen[g] = k + 1
-                    elements.append((freq.get(g[: QMAX - 1], 0), g, k))
-                elements.sort()
-                keys.append([f"{g}\x00{k}" for _, g, k in elements[: bound + 1]])
-                kept.append(len(grams) - bound)
+                order = sorted((freq.get(g[: QMAX - 1], 0), g, p) for p, g in grams)[: bound + 1]
+                texts.append([g for _, g, _ in order])
+                places.append([p for _, _, p in order])
                 rest.append(len(grams) - bound <= 0)
-            yield pd.DataFrame({"word": batch["word"], "keys": keys, "c": kept, "rest": rest})
+            yield pd.DataFrame({"word": batch["word"], "grams": texts, "places": places, "rest": rest})
 
     return listed
 
 
+def gram_candidates(listed: DataFrame) -> DataFrame:
+    """(a, b): words (``word, len, keys``) that share a listed gram where one edit could leave it.
+
+    b is as long as a and greater, or longer by one. A pair comes once per shared gram; keys
+    are hashes, so a pair without a shared gram may be among them.
+    """
+    entries = listed.select("word", "len", F.explode("keys").alias("key")).select(
+        F.col("word").alias("b"), F.col("len").alias("len_b"), F.xxhash64("key.grams", "len", "key.places").alias("key")
+    )
+    # Words as long (each pair found from its lesser word), or longer by one: the key of the partner.
+    probes = listed.select("word", "len", F.explode("keys").alias("key")).select(
+        F.col("word").alias("a"),
+        F.col("len").alias("len_a"),
+        F.explode(
+            F.array(
+                F.xxhash64("key.grams", "len", "key.places"),
+                F.xxhash64("key.grams", F.col("len") + 1, "key.places"),
+                F.xxhash64("key.grams", F.col("len") + 1, F.col("key.places") + 1),
+            )
+        ).alias("key"),
+    )
+    return probes.join(entries, "key").where((F.col("len_a") < F.col("len_b")) | (F.col("a") < F.col("b"))).select("a", "b")
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """(a, b) with a < b for every two words one edit apart."""
     spark = words.sparkSession
@@ -159,14 +180,10 @@ def near_pairs(words: DataFrame) -> DataFrame:
     # At most 90^2 + 90^3 grams of two and three code points exist: a bound of the alphabet.
     freq = {r["gram"]: int(r["freq"]) for r in counts.toLocalIterator()}
     grows = {g for g, f in freq.items() if f > threshold}
-    listed = words.select("word").mapInPandas(_listing(grows, freq), "word string, keys array<string>, c int, rest boolean")
+    listed = words.select("word").mapInPandas(_listing(grows, freq), "word string, grams array<string>, places array<int>, rest boolean")
     # Read three times below: listed once, kept in the shared folder.
-    listed = _stored(listed.select("word", F.length("word").alias("len"), "keys", "rest"), "spelling-lists")
-    entries = listed.select("word", "len", F.explode("keys").alias("key"))
-    probes = entries.select(
-        F.col("word").alias("a"), F.explode(F.array(F.col("len") - 1, F.col("len"), F.col("len") + 1)).alias("len"), "key"
-    )
-    by_grams = probes.join(entries, ["key", "len"]).where(F.col("a") < F.col("word")).select("a", F.col("word").alias("b"))
+    listed = _stored(listed.select("word", F.length("word").alias("len"), F.arrays_zip("grams", "places").alias("keys"), "rest"), "spelling-lists")
+    by_grams = gram_candidates(listed).where(F.levenshtein("a", "b", 1) == 1).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # The rest: words whose bound gives no count filter, matched by one-deletion variants.
     rest = listed.where("rest").select("word", F.length("word").alias("len"))
     variants = rest.select(
@@ -182,9 +199,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
         ).alias("variant"),
     )
     other = variants.select(F.col("word").alias("b"), F.col("variant"))
-    by_rest = variants.join(other, "variant").where(F.col("word") < F.col("b")).select(F.col("word").alias("a"), "b")
-    pairs = by_grams.unionByName(by_rest).distinct()
-    return pairs.where(F.levenshtein("a", "b", 1) == 1)
+    by_rest = variants.join(other, "variant").where((F.col("word") < F.col("b")) & (F.levenshtein("word", "b", 1) == 1))
+    return by_grams.unionByName(by_rest.select(F.col("word").alias("a"), "b")).distinct()
 
 
 def spelling_variants(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

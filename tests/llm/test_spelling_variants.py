@@ -10,7 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from rivermark.llm import queries
-from rivermark.llm.spelling_variants import spelling_variants
+from rivermark.llm.spelling_variants import gram_candidates, spelling_variants
 
 DATA = Path("/root/testdata/sf0.001")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -65,6 +65,16 @@ def test_equals_brute_force(spark):
     assert got == brute(rows)
 
 
+def test_a_shared_gram_elsewhere_is_no_candidate(spark):
+    # The gram "qz" is in every word, at another place in each, but in two pairs.
+    words = ["abqzcdefgh", "abcqzdefgh", "abcdqzefgh", "abcdeqzfgh", "abqzcdefgx", "abcqzdefghi"]
+    rows = [(w, len(w), [("qz", w.index("qz"))]) for w in words]
+    listed = spark.createDataFrame(rows, "word string, len int, keys array<struct<grams: string, places: int>>")
+    got = {tuple(r) for r in gram_candidates(listed).collect()}
+    # The longer word has the gram where "abcqzdefgh" has it, and one place after where the two first have it.
+    assert got == {("abqzcdefgh", "abqzcdefgx"), ("abcqzdefgh", "abcqzdefghi"), ("abqzcdefgh", "abcqzdefghi"), ("abqzcdefgx", "abcqzdefghi")}
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert spelling_variants(docs).collect() == []
