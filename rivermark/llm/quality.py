@@ -3,7 +3,8 @@
 A text is the average of learned vectors: one per hashed word, one per hashed run of
 three and of four bytes, and one for "the word before, again". A softmax over the
 average gives the class. Vectors and softmax are trained by stochastic gradient
-descent in numpy on a bounded sample of labelled texts. As both are linear, scoring
+descent in numpy on a bounded sample of labelled texts, by one task, so that the driver
+gets only the weights. As both are linear, scoring
 needs one number per bucket (the vector times the difference of the class weights),
 and a text of any length is scored slice by slice in bounded memory.
 """
@@ -97,7 +98,7 @@ def _sparse(text: str) -> tuple[np.ndarray, np.ndarray]:
         for _, buckets in _features(data, starts)
     ]
     buckets, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, int), np.zeros(0))
-    return buckets, (n / max(1, n.sum())).astype(np.float32)
+    return buckets.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)
 
 
 def train(texts: list[str], labels: list[int], *, epochs: int = EPOCHS, rate: float = RATE, seed: int = 11) -> Model:
@@ -138,7 +139,7 @@ def fold(doc_id: Column, of: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")) % of
 
 
-def labelled_sample(
+def _labelled(
     docs: DataFrame,
     labels: DataFrame,
     *,
@@ -148,8 +149,8 @@ def labelled_sample(
     doc_id: str = "doc_id",
     text: str = "text",
     seed: int = 3,
-) -> list[tuple[str, int]]:
-    """At most ``limit`` labelled texts, half per class: those of smallest hash.
+) -> DataFrame:
+    """(id, y, t): at most ``limit`` labelled texts, half per class: those of smallest hash.
 
     Labels other than 0 and 1 and NULL ids are left out; an id with both labels counts
     as 0. Of repeated rows with one id the smallest text is taken. The chosen ids (a
@@ -168,15 +169,17 @@ def labelled_sample(
         known.filter("y = 0").orderBy(*order).limit(half)
         .unionByName(known.filter("y = 1").orderBy(*order).limit(half))
     )
-    rows = (
+    return (
         docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
         .join(F.broadcast(chosen), "id")
         .groupBy("id", "y")
         .agg(F.min("t").alias("t"))
-        .orderBy("id")
-        .collect()
     )
-    return [(r["t"], r["y"]) for r in rows]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, **options) -> list[tuple[str, int]]:
+    """The texts and labels of ``_labelled`` (same options), by id."""
+    return [(r["t"], r["y"]) for r in _labelled(docs, labels, **options).orderBy("id").collect()]
 
 
 def scorer(model) -> Column:
@@ -190,10 +193,29 @@ def scorer(model) -> Column:
     return score
 
 
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task that trains on all its rows (text, label)."""
+    texts, labels = [], []
+    for batch in batches:
+        texts += batch.column(0).to_pylist()
+        labels += batch.column(1).to_pylist()
+    model = train(texts, labels)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.intercept], pa.float64())],
+        ["weights", "intercept"],
+    )
+
+
 def quality_model(docs: DataFrame, labels: DataFrame, *, usable: Column, limit: int = TRAINING_DOCS) -> Model:
     """Train on the labelled texts that ``usable`` (a condition on ``id``) allows."""
-    sample = labelled_sample(docs, labels, label="quality", usable=usable, limit=limit)
-    return train([t for t, _ in sample], [y for _, y in sample])
+    ship(docs.sparkSession)
+    sample = _labelled(docs, labels, label="quality", usable=usable, limit=limit)
+    # The sample is bounded, and one task learns from it in the order of ids.
+    fitted = (
+        sample.repartition(1).sortWithinPartitions("id").select("t", "y")
+        .mapInArrow(_fit, "weights binary, intercept double").first()
+    )
+    return train([], []) if fitted is None else Model(np.frombuffer(fitted["weights"], np.float32), fitted["intercept"])
 
 
 def with_quality(docs: DataFrame, model: Model, *, text: str = "text", name: str = "score") -> DataFrame:

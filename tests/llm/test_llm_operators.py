@@ -64,6 +64,13 @@ def test_quality(docs, none, labels):
     assert only.scores(pa.array(["x", None])).min() > 0.5
 
 
+def test_quality_is_not_learnt_on_the_driver(docs, labels, monkeypatch):
+    want = quality_model(docs, labels, usable=F.lit(True))
+    monkeypatch.setattr(quality, "train", lambda *a, **k: pytest.fail("trained on the driver"))
+    got = quality_model(docs, labels, usable=F.lit(True))
+    assert got.intercept == want.intercept and (got.weights == want.weights).all() and len(got.weights) == quality.BUCKETS
+
+
 def test_quality_learns_and_ignores_slices():
     rng = random.Random(1)
     good = [" ".join(rng.choices(["river", "stone", "meadow", "cloud"], k=30)) for _ in range(40)]
